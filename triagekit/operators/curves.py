@@ -154,15 +154,15 @@ def threshold_sweep(scored: DataFrame, grid: list[float] | None = None, score: s
     wd = Window.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, 0)
     wa = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     r = full.select("k", "threshold", F.sum("n").over(wd).alias("flag_n"), F.sum("pos").over(wd).alias("flag_pos"),
-                    F.sum("n").over(wa).alias("N"), F.sum("pos").over(wa).alias("P")
+                    F.sum("n").over(wa).alias("n_all"), F.sum("pos").over(wa).alias("p_all")
                     ).filter(F.col("threshold").isNotNull())
     tp = F.col("flag_pos")
     fp = F.col("flag_n") - F.col("flag_pos")
-    fn = F.col("P") - F.col("flag_pos")
-    tn = F.col("N") - F.col("P") - fp
-    r = r.select("threshold", tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"), "N")
+    fn = F.col("p_all") - F.col("flag_pos")
+    tn = F.col("n_all") - F.col("p_all") - fp
+    r = r.select("threshold", tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"), "n_all")
     return r.select(
         "threshold", M.f2().alias("f2"), M.recall().alias("recall"), M.precision().alias("precision"),
         "tp", "fp", "fn", "tn",
-        ((F.col("tp") + F.col("fp")) / F.col("N") * 100).alias("flagged_pct"),
+        ((F.col("tp") + F.col("fp")) / F.col("n_all") * 100).alias("flagged_pct"),
         (F.col("tp") * tp_cost + F.col("fp") * fp_cost + F.col("fn") * fn_cost).alias("cost"))

@@ -158,11 +158,11 @@ def tier_distribution(scored: DataFrame, mean_thresh, high: float = C.TIER_HIGH)
     tiers = spark.createDataFrame([("HIGH", 1), ("MEDIUM", 2), ("LOW", 3)], "tier string, tier_order int")
     j = F.broadcast(tiers).join(g, "tier", "left").fillna(0, subset=["n", "n_escalated"])
     wa = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # 3 rows
-    j = j.select("tier", "tier_order", "n", "n_escalated", F.sum("n").over(wa).alias("N"),
-                 F.sum("n_escalated").over(wa).alias("P"))
-    return j.select("tier", "tier_order", "n", (M.safe_div("n", "N") * 100).alias("pct"), "n_escalated",
+    j = j.select("tier", "tier_order", "n", "n_escalated", F.sum("n").over(wa).alias("n_all"),
+                 F.sum("n_escalated").over(wa).alias("p_all"))
+    return j.select("tier", "tier_order", "n", (M.safe_div("n", "n_all") * 100).alias("pct"), "n_escalated",
                     (M.safe_div("n_escalated", "n") * 100).alias("prevalence"),
-                    (M.safe_div("n_escalated", "P") * 100).alias("catch_pct"))
+                    (M.safe_div("n_escalated", "p_all") * 100).alias("catch_pct"))
 
 
 def threshold_picks(sweep: DataFrame, workload_pct: float = 30.0) -> DataFrame:

@@ -43,3 +43,20 @@ def scored_cases(spark: SparkSession, sf_dir: str, mode: str = "per_fold") -> Da
     if mode == "per_fold":
         return with_fold_thresholds(base)
     return with_mean_threshold(base, mean_threshold(base))
+
+
+def scored_with_thresholds(spark: SparkSession, sf_dir: str):
+    """(per-fold scored table, thresholds table, mean threshold scalar)."""
+    base = prepare(cases(spark, sf_dir))
+    thr = curves.fold_thresholds(base).cache()
+    scored = (base.join(F.broadcast(thr.select("fold", "threshold")), "fold")
+              .withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold"))))
+    mt = float(thr.agg(F.avg("threshold")).first()[0])
+    return scored, thr, mt
+
+
+def scored_mean_cases(spark: SparkSession, sf_dir: str):
+    """(mean-threshold scored table, mean threshold)."""
+    base = prepare(cases(spark, sf_dir))
+    mt = mean_threshold(base)
+    return with_mean_threshold(base, mt), mt
