@@ -24,23 +24,25 @@ class Query:
     sql: str | None = None
     doubles: list[str] = field(default_factory=list)
     ops: str = ""
+    raw: list[str] = field(default_factory=list)  # passthrough floats: compared unrounded
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, sql: str | None = None, doubles: list[str] | None = None, ops: str = ""):
+def register(name: str, sql: str | None = None, doubles: list[str] | None = None, ops: str = "",
+             raw: list[str] | None = None):
     def deco(fn):
-        REGISTRY[name] = Query(name, fn, sql, list(doubles or []), ops)
+        REGISTRY[name] = Query(name, fn, sql, list(doubles or []), ops, list(raw or []))
         return fn
     return deco
 
 
-def finish(df: DataFrame) -> DataFrame:
-    """Round float columns to ROUND_DIGITS (floats widened to double)."""
+def finish(df: DataFrame, raw: list[str] | None = None) -> DataFrame:
+    """Round float columns to ROUND_DIGITS (floats widened to double); ``raw`` columns pass through."""
     cols = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in (raw or []):
             cols.append(F.round(F.col(f.name).cast("double"), ROUND_DIGITS).alias(f.name))
         else:
             cols.append(F.col(f.name))
@@ -60,7 +62,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
     out = {}
     for name, q in REGISTRY.items():
-        out[name] = (lambda fn: (lambda spark, sf_dir: finish(fn(spark, sf_dir))))(q.fn)
+        out[name] = (lambda fn, raw: (lambda spark, sf_dir: finish(fn(spark, sf_dir), raw)))(q.fn, q.raw)
     return out
 
 
@@ -71,4 +73,4 @@ def oracle_queries() -> dict[str, str]:
 
 def _load():
     # importing the query modules fills REGISTRY
-    from . import queries_eval  # noqa: F401
+    from . import queries_eval, queries_profile  # noqa: F401

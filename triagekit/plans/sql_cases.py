@@ -29,7 +29,7 @@ JOIN region r ON n.n_regionkey = r.r_regionkey
 MODEL = CASES + """,
 model_cases AS (
 SELECT * REPLACE (coalesce(sentiment, 'Unknown') AS sentiment),
-  hour(ts) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, month(ts) AS month
+  CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week, CAST(month(ts) AS INTEGER) AS month
 FROM cases
 )"""
 
