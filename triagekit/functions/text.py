@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Unicode-aware "not a word character and not whitespace" (Python's \w is
 # Unicode; Java's is ASCII unless spelled out).
@@ -47,12 +48,10 @@ def tokens(c) -> Column:
 
 
 def with_bigrams(tok: Column) -> Column:
-    """Unigrams followed by space-joined adjacent pairs."""
-    bigrams = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(tok) - 1, F.lit(0))),
-        lambda i: F.concat_ws(" ", F.element_at(tok, i), F.element_at(tok, i + 1)))
-    bigrams = F.when(F.size(tok) >= 2, bigrams).otherwise(F.array().cast("array<string>"))
-    return F.concat(tok, bigrams)
+    """Unigrams followed by space-joined adjacent pairs (one pass: zip of two shifted slices)."""
+    m = F.greatest(F.size(tok) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(tok, 1, m), F.slice(tok, 2, m), lambda a, b: F.concat_ws(" ", a, b))
+    return F.concat(tok, pairs)
 
 
 def strip_accents(c) -> Column:
@@ -65,6 +64,6 @@ def strip_accents(c) -> Column:
     return F.regexp_replace(_nfd_udf(c), r"\p{M}", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfd_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKD", x) if isinstance(x, str) else x)

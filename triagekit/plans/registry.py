@@ -73,4 +73,4 @@ def oracle_queries() -> dict[str, str]:
 
 def _load():
     # importing the query modules fills REGISTRY
-    from . import queries_eval, queries_profile  # noqa: F401
+    from . import queries_eval, queries_ml, queries_profile  # noqa: F401
