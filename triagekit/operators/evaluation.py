@@ -213,8 +213,10 @@ def cost_breakeven(scored: DataFrame, fn_costs: list[int] = C.FN_COST_GRID,
     r = pooled.select("tp", "fp", "fn", flag_all.alias("flag_all_cost"),
                       wins(coarse).alias("breakeven_tested"), wins(fine).alias("breakeven_fine"),
                       F.when(F.col("fn") > 0, (flag_all - base) / F.col("fn")).alias("crossover_fn_cost"))
-    return r.select("tp", "fp", "fn", "flag_all_cost", "breakeven_tested", "breakeven_fine",
-                    F.coalesce("breakeven_tested", "breakeven_fine").alias("breakeven_fn_cost"),
+    # nullable results are doubles so a missing breakeven is NaN/NULL alike everywhere
+    return r.select("tp", "fp", "fn", "flag_all_cost", F.col("breakeven_tested").cast("double").alias("breakeven_tested"),
+                    F.col("breakeven_fine").cast("double").alias("breakeven_fine"),
+                    F.coalesce("breakeven_tested", "breakeven_fine").cast("double").alias("breakeven_fn_cost"),
                     "crossover_fn_cost")
 
 

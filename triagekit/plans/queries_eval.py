@@ -400,16 +400,16 @@ def q_cost_sensitivity(spark, sf_dir):
     return E.cost_sensitivity(s, curves.threshold_sweep(s))
 
 
-@register("cost_breakeven", ops="D29", doubles=["crossover_fn_cost"],
+@register("cost_breakeven", ops="D29", doubles=["crossover_fn_cost", "breakeven_tested", "breakeven_fine", "breakeven_fn_cost"],
           sql=with_(SCORED_MEAN + ",\n" + POOLED_MEAN + f""",
 pb AS (SELECT tp, fp, fn, CAST(p_all * {C.COST_TP} + (n_all - p_all) * {C.COST_FP} AS BIGINT) AS flag_all_cost,
   tp * {C.COST_TP} + fp * {C.COST_FP} AS base FROM pooled),
 bt AS (SELECT min(c) AS breakeven_tested FROM pb, unnest({C.FN_COST_GRID}) AS t(c) WHERE base + fn * c < flag_all_cost),
 bf AS (SELECT min(c) AS breakeven_fine FROM pb, range({C.BREAKEVEN_FALLBACK[0]}, {C.BREAKEVEN_FALLBACK[1]}, {C.BREAKEVEN_FALLBACK[2]}) AS t(c)
   WHERE base + fn * c < flag_all_cost)""",
-                    """SELECT tp, fp, fn, flag_all_cost, CAST(breakeven_tested AS INTEGER) AS breakeven_tested,
-  CAST(breakeven_fine AS INTEGER) AS breakeven_fine,
-  CAST(coalesce(breakeven_tested, breakeven_fine) AS INTEGER) AS breakeven_fn_cost,
+                    """SELECT tp, fp, fn, flag_all_cost, CAST(breakeven_tested AS DOUBLE) AS breakeven_tested,
+  CAST(breakeven_fine AS DOUBLE) AS breakeven_fine,
+  CAST(coalesce(breakeven_tested, breakeven_fine) AS DOUBLE) AS breakeven_fn_cost,
   CASE WHEN fn > 0 THEN (flag_all_cost - base) / fn END AS crossover_fn_cost FROM pb, bt, bf"""))
 def q_cost_breakeven(spark, sf_dir):
     s, _ = scored_mean_cases(spark, sf_dir)
