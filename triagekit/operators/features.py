@@ -137,7 +137,7 @@ class OneHotModel:
         out = []
         for c, vals in self.categories.items():
             for v in vals[1:]:
-                out.append((f"{c}_{v}", (F.col(c).cast("string") == F.lit(v)).cast("double")))
+                out.append((f"{c}_{v}", F.coalesce((F.col(c).cast("string") == F.lit(v)).cast("double"), F.lit(0.0))))
         return out
 
     def feature_names(self) -> list[str]:
@@ -210,7 +210,7 @@ class Preprocessor:
         if extra:
             x = x.select("*", *[e.alias(n) for n, e in extra])
             inputs += [n for n, _ in extra]
-        va = VectorAssembler(inputCols=inputs, outputCol=out_col, handleInvalid="keep")
+        va = VectorAssembler(inputCols=inputs, outputCol=out_col)
         return va.transform(x).drop(*inputs)
 
     def feature_names(self) -> list[str]:

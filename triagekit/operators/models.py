@@ -104,6 +104,29 @@ def weighted(df: DataFrame, spec: ModelSpec, label: str = "escalated") -> DataFr
     return df
 
 
+def truncate_gbt(model, n_trees: int):
+    """The first ``n_trees`` rounds of a fitted boosted model, as a model.
+
+    Boosting without row subsampling is sequential and deterministic, so this
+    equals a model fitted with ``maxIter=n_trees``; a grid over round counts
+    needs one fit at the largest count.
+    """
+    from pyspark import SparkContext
+    from pyspark.ml.classification import GBTClassificationModel
+    if n_trees >= model.getNumTrees:
+        return model
+    jvm, gw = SparkContext._jvm, SparkContext._gateway
+    jm = model._java_obj
+    all_trees, all_w = jm.trees(), jm.treeWeights()
+    trees = gw.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n_trees)
+    weights = gw.new_array(jvm.double, n_trees)
+    for i in range(n_trees):
+        trees[i] = all_trees[i]
+        weights[i] = all_w[i]
+    sub = jvm.org.apache.spark.ml.classification.GBTClassificationModel(jm.uid(), trees, weights, jm.numFeatures(), 2)
+    return GBTClassificationModel(sub)
+
+
 def positive_probability(df: DataFrame, prob_col: str = "probability", out: str = "y_prob") -> DataFrame:
     return df.withColumn(out, vector_to_array(prob_col).getItem(1))
 
@@ -126,11 +149,12 @@ def pca_transform(df: DataFrame, sc, pca) -> DataFrame:
 
 
 def kmeans_best(df: DataFrame, k: int, features: str = "pcs", restarts: int = 10):
-    """K-Means with ``restarts`` seeds, keeping the lowest training cost."""
-    best = None
-    for s in range(restarts):
+    """K-Means with ``restarts`` seeds (fitted concurrently), keeping the lowest training cost."""
+    from ..plans.parallel import parallel_map
+
+    def fit(s):
         m = KMeans(k=k, featuresCol=features, predictionCol="cluster", seed=C.SEED + s, maxIter=300, tol=1e-4).fit(df)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best
+        return m, m.summary.trainingCost
+
+    fits = parallel_map(fit, range(restarts))
+    return min(fits, key=lambda t: t[1])

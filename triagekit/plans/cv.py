@@ -20,6 +20,7 @@ from ..operators import evaluation as E
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import splits as SP
+from .parallel import parallel_map
 
 
 def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
@@ -31,9 +32,9 @@ def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
 def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, fold: str = "fold",
               label: str = "escalated", row_id: str = "case_id", n_folds: int = C.N_FOLDS,
               keep_train: bool = True, hooks: dict | None = None) -> DataFrame:
-    """Long scored table for every (model, fold, split)."""
-    parts = []
-    for k in range(n_folds):
+    """Long scored table for every (model, fold, split); folds are fitted concurrently."""
+    def one_fold(k):
+        parts = []
         train = df.filter(F.col(fold) != k)
         val = df.filter(F.col(fold) == k)
         fp = prep.fit(train)
@@ -56,6 +57,9 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
                 parts.append(s.select(F.lit(spec.name).alias("model"), F.lit(k).alias(fold), F.lit(name).alias("split"),
                                       row_id, label, "y_prob",
                                       (F.col("y_prob") > 0.5).cast("int").alias("y_default")))
+        return parts
+
+    parts = [p for ps in parallel_map(one_fold, range(n_folds)) for p in ps]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

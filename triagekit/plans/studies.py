@@ -65,20 +65,39 @@ def ols_baseline(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
                     F.when(F.col("_vy") > 0, 1 - F.col("mse") / F.col("_vy")).alias("r2"), "preds_below_0", "preds_above_1")
 
 
-def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID) -> DataFrame:
-    """Boosted-tree grid: mean / sample std of tuned F2 per config, ranked (L3, L4)."""
-    specs = []
-    for n in grid["n_estimators"]:
+def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, label: str = "escalated") -> DataFrame:
+    """Boosted-tree grid: mean / sample std of tuned F2 per config, ranked (L3, L4).
+
+    One fit per (depth, learning rate) at the largest round count per fold;
+    smaller round counts are exact prefixes of it (``truncate_gbt``).
+    """
+    from .parallel import parallel_map
+    n_max = max(grid["n_estimators"])
+
+    def one_fold(k):
+        train = df.filter(F.col("fold") != k)
+        val = df.filter(F.col("fold") == k)
+        fp = prep.fit(train)
+        tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).cache()
+        va = fp.transform(val).select(label, "features").cache()
+        out = []
         for d in grid["max_depth"]:
             for lr in grid["learning_rate"]:
-                specs.append(MD.ModelSpec(f"gbt_{n}_{d}_{lr}", "gbt",
-                                          {"n_estimators": n, "max_depth": d, "learning_rate": lr}, "pos"))
-    s = cv.cv_scores(df, specs, prep)
-    fm = cv.cv_fold_metrics(s)
-    g = fm.groupBy("model").agg(F.avg("f2_tuned").alias("mean_f2"), F.stddev_samp("f2_tuned").alias("std_f2"))
-    parts = F.split("model", "_")
-    g = g.select(parts[1].cast("int").alias("n_estimators"), parts[2].cast("int").alias("max_depth"),
-                 parts[3].cast("double").alias("learning_rate"), "mean_f2", "std_f2")
+                spec = MD.ModelSpec("gbt", "gbt", {"n_estimators": n_max, "max_depth": d, "learning_rate": lr}, "pos")
+                full = spec.estimator(1.0, label).fit(tr)
+                for n in grid["n_estimators"]:
+                    m = MD.truncate_gbt(full, n)
+                    s_tr = MD.positive_probability(m.transform(tr)).select(label, "y_prob")
+                    thr = float(curves.best_threshold(s_tr, [], "y_prob", label).first()["threshold"])
+                    s_va = MD.positive_probability(m.transform(va)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
+                    f2 = s_va.agg(*M.confusion_aggs(label, "y_pred")).select(M.f2().alias("f2")).first()["f2"]
+                    out.append((int(n), int(d), float(lr), int(k), float(f2)))
+        return out
+
+    rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
+    t = df.sparkSession.createDataFrame(rows, "n_estimators int, max_depth int, learning_rate double, fold int, f2 double")
+    g = t.groupBy("n_estimators", "max_depth", "learning_rate").agg(F.avg("f2").alias("mean_f2"),
+                                                                    F.stddev_samp("f2").alias("std_f2"))
     w = Window.orderBy(F.col("mean_f2").desc(), "n_estimators", "max_depth", "learning_rate")  # one row per config
     return g.withColumn("rank", F.row_number().over(w))
 
