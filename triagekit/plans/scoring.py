@@ -6,6 +6,7 @@ broadcast; the scored table is otherwise a narrow projection of the cases.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +47,13 @@ def scored_cases(spark: SparkSession, sf_dir: str, mode: str = "per_fold") -> Da
 
 
 def scored_with_thresholds(spark: SparkSession, sf_dir: str):
-    """(per-fold scored table, thresholds table, mean threshold scalar)."""
-    base = prepare(cases(spark, sf_dir))
+    """(per-fold scored table, thresholds table, mean threshold scalar).
+
+    The prepared cases feed both the threshold tuning and every downstream
+    aggregate, so they are persisted once (memory, spilling to disk; lost
+    blocks are recomputed from lineage).
+    """
+    base = prepare(cases(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     thr = curves.fold_thresholds(base).cache()
     scored = (base.join(F.broadcast(thr.select("fold", "threshold")), "fold")
               .withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold"))))
@@ -56,7 +62,7 @@ def scored_with_thresholds(spark: SparkSession, sf_dir: str):
 
 
 def scored_mean_cases(spark: SparkSession, sf_dir: str):
-    """(mean-threshold scored table, mean threshold)."""
-    base = prepare(cases(spark, sf_dir))
+    """(mean-threshold scored table, mean threshold); prepared cases persisted as above."""
+    base = prepare(cases(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
     mt = mean_threshold(base)
     return with_mean_threshold(base, mt), mt

@@ -105,22 +105,26 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
 def learning_curve(df: DataFrame, prep: FE.Preprocessor, row_id: str = "case_id",
                    sizes=(0.2, 0.4, 0.6, 0.8, 1.0)) -> DataFrame:
     """Train / validation F1 per training size on ungrouped stratified folds."""
-    strat = SP.stratified_folds(df.drop("fold"), row_id)
+    from .parallel import parallel_map
+    strat = SP.stratified_folds(df.drop("fold"), row_id).cache()
     spec = MD.reference_models()[0]
-    rows = []
-    for k in range(C.N_FOLDS):
-        train_all = strat.filter(F.col("fold") != k)
+
+    def one(item):
+        k, f = item
+        train = SP.training_prefix(strat.filter(F.col("fold") != k), row_id, f)
         val = strat.filter(F.col("fold") == k)
-        for f in sizes:
-            train = SP.training_prefix(train_all, row_id, f)
-            fp = prep.fit(train)
-            tr = MD.weighted(fp.transform(train), spec)
-            n_w = tr.agg(F.sum("w")).first()[0]
-            model = spec.estimator(float(n_w)).fit(tr)
-            for name, part in (("train", tr), ("val", fp.transform(val))):
-                sc = model.transform(part).select("escalated", F.col("prediction").cast("int").alias("p"))
-                r = sc.agg(*M.confusion_aggs("escalated", "p")).select(M.f_beta(beta=1.0).alias("f1")).first()
-                rows.append((float(f), k, name, float(r["f1"])))
+        fp = prep.fit(train)
+        tr = MD.weighted(fp.transform(train), spec)
+        n_w = tr.agg(F.sum("w")).first()[0]
+        model = spec.estimator(float(n_w)).fit(tr)
+        out = []
+        for name, part in (("train", tr), ("val", fp.transform(val))):
+            sc = model.transform(part).select("escalated", F.col("prediction").cast("int").alias("p"))
+            r = sc.agg(*M.confusion_aggs("escalated", "p")).select(M.f_beta(beta=1.0).alias("f1")).first()
+            out.append((float(f), k, name, float(r["f1"])))
+        return out
+
+    rows = [r for rs in parallel_map(one, [(k, f) for k in range(C.N_FOLDS) for f in sizes]) for r in rs]
     spark = df.sparkSession
     t = spark.createDataFrame(rows, "size double, fold int, split string, f1 double")
     g = t.groupBy("size").pivot("split", ["train", "val"]).agg(F.avg("f1"))
@@ -132,9 +136,11 @@ def learning_curve(df: DataFrame, prep: FE.Preprocessor, row_id: str = "case_id"
 
 def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_target: float = 0.90) -> DataFrame:
     """LR on k principal components per fold, tuned threshold; k in sizes plus the 90%-variance count (K9)."""
+    from .parallel import parallel_map
     spark = df.sparkSession
-    rows = []
-    for k_fold in range(C.N_FOLDS):
+
+    def one_fold(k_fold):
+        rows = []
         train = df.filter(F.col("fold") != k_fold)
         val = df.filter(F.col("fold") == k_fold)
         fp = prep.fit(train)
@@ -162,6 +168,9 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
             s_va = MD.positive_probability(model.transform(vap)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
             r = s_va.agg(*M.confusion_aggs()).select(M.f2().alias("f2")).first()
             rows.append((label, int(size), int(kk), k_fold, float(r["f2"])))
+        return rows
+
+    rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
     t = spark.createDataFrame(rows, "config string, n_components int, used_components int, fold int, f2 double")
     return t.groupBy("config").agg(F.avg("n_components").alias("n_components"), F.avg("used_components").alias("used_components"),
                                    F.avg("f2").alias("f2_mean"), F.stddev_pop("f2").alias("f2_std"))
@@ -277,9 +286,10 @@ def knn_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KNN_KS, row_id: str = "
 
     Training-row scores include the row itself, as the reference's do.
     """
+    from .parallel import parallel_map
     kmax = max(ks)
-    rows = []
-    for k_fold in range(C.N_FOLDS):
+
+    def one_fold(k_fold):
         train = df.filter(F.col("fold") != k_fold)
         val = df.filter(F.col("fold") == k_fold)
         fp = prep.fit(train)
@@ -287,22 +297,26 @@ def knn_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KNN_KS, row_id: str = "
         va = fp.transform(val).select(F.col(row_id).alias("_id"), "escalated", vector_to_array("features").alias("vec"))
         pts = tr.select(F.col("_id").alias("_pid"), "vec")
         lab = tr.select(F.col("_id").alias("_pid"), F.col("escalated").alias("_py"))
+        shares = {}
         for split, q in (("train", tr), ("val", va)):
             nn = SP.knn(q, pts, kmax, "_id", "_pid", "vec").join(lab, "_pid")
             share = nn.groupBy("_id").agg(*[F.avg(F.when(F.col("rank") <= k, F.col("_py"))).alias(f"k{k}") for k in ks])
-            sc = share.join(q.select("_id", "escalated"), "_id")
-            for k in ks:
-                rows.append((k_fold, split, k, sc.select("escalated", F.col(f"k{k}").alias("y_prob"))))
+            shares[split] = share.join(q.select("_id", "escalated"), "_id").cache()
+        out = []
+        for k in ks:
+            tr_s = shares["train"].select("escalated", F.col(f"k{k}").alias("y_prob"))
+            va_s = shares["val"].select("escalated", F.col(f"k{k}").alias("y_prob"))
+            thr = float(curves.best_threshold(tr_s, []).first()["threshold"])
+            r = va_s.withColumn("y_pred", M.apply_threshold("y_prob", thr)).agg(*M.confusion_aggs()).select(
+                M.f2().alias("f2")).first()
+            out.append((int(k), k_fold, float(r["f2"])))
+        return out
+
+    rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
     spark = df.sparkSession
     res = []
     for k in ks:
-        f2s = []
-        for k_fold in range(C.N_FOLDS):
-            tr_s = [r[3] for r in rows if r[0] == k_fold and r[1] == "train" and r[2] == k][0]
-            va_s = [r[3] for r in rows if r[0] == k_fold and r[1] == "val" and r[2] == k][0]
-            thr = float(curves.best_threshold(tr_s, []).first()["threshold"])
-            r = va_s.withColumn("y_pred", M.apply_threshold("y_prob", thr)).agg(*M.confusion_aggs()).select(M.f2().alias("f2")).first()
-            f2s.append(float(r["f2"]))
+        f2s = [r[2] for r in rows if r[0] == k]
         mean = sum(f2s) / len(f2s)
         std = (sum((x - mean) ** 2 for x in f2s) / len(f2s)) ** 0.5
         res.append((int(k), mean, std))
