@@ -158,3 +158,22 @@ def kmeans_best(df: DataFrame, k: int, features: str = "pcs", restarts: int = 10
 
     fits = parallel_map(fit, range(restarts))
     return min(fits, key=lambda t: t[1])
+
+
+class F2Evaluator:
+    """F2 of a scored frame at a fixed or F2-tuned threshold (O2), usable like an ``Evaluator``."""
+
+    def __init__(self, label: str = "escalated", score: str = "y_prob", threshold: float | None = None):
+        self.label, self.score, self.threshold = label, score, threshold
+
+    def evaluate(self, df: DataFrame) -> float:
+        from . import curves
+        from ..functions import metrics as M
+        t = self.threshold
+        if t is None:
+            t = float(curves.best_threshold(df, [], self.score, self.label).first()["threshold"])
+        pred = df.withColumn("_p", M.apply_threshold(self.score, t))
+        return float(pred.agg(*M.confusion_aggs(self.label, "_p")).select(M.f2()).first()[0])
+
+    def isLargerBetter(self) -> bool:  # noqa: N802 - mirrors the Evaluator API
+        return True

@@ -314,3 +314,12 @@ JOIN lab l ON p.case_id = l.case_id AND p.prediction_type = l.prediction_type"""
 def q_representative_rows(spark, sf_dir):
     scored, _, _ = scored_with_thresholds(spark, sf_dir)
     return IN.representative_rows(scored)
+
+
+@register("silhouette_sample", ops="J4,K11")
+def q_silhouette_sample(spark, sf_dir):
+    """Silhouette on a seeded 2,000-row sample (the sampling is the feature), K-Means k=2 on 50 PCs."""
+    m = _model_cases(spark, sf_dir)
+    sample = SP.seeded_sample(m, "case_id", C.SILHOUETTE_SAMPLE)
+    t = S.kmeans_study(sample, _case_prep(), ks=[2])
+    return t.select("k", "silhouette_sq_euclidean").withColumn("sample_rows", F.lit(C.SILHOUETTE_SAMPLE))

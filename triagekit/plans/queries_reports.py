@@ -175,3 +175,38 @@ def q_run_summary(spark, sf_dir):
     fsd = fs.first().asDict()  # one row
     return es.select(F.struct(*es.columns).alias("error_analysis"),
                      F.struct(*[F.lit(v).alias(k) for k, v in fsd.items()]).alias("deployment"))
+
+
+@register("ranked_features", ops="F5,G1,G2", doubles=["escalation_rate"],
+          sql=with_(CASES + ",\nlg AS (" + " UNION ALL ".join(
+              f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, escalated FROM cases" for c in C.PROFILE_CAT_COLS) + """),
+g AS (SELECT "column", value, count(*) AS n, avg(CAST(escalated AS DOUBLE)) AS escalation_rate FROM lg GROUP BY ALL)""",
+                    """SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY escalation_rate DESC, value NULLS LAST) AS rank FROM g"""))
+def q_ranked_features(spark, sf_dir):
+    from pyspark.sql import Window
+    r = PF.category_rates(cases(spark, sf_dir), C.PROFILE_CAT_COLS)
+    w = Window.partitionBy("column").orderBy(F.col("escalation_rate").desc(), F.col("value").asc_nulls_last())
+    return r.withColumn("rank", F.row_number().over(w))  # one row per (column, value)
+
+
+_RULES = {"tuned_per_fold": "y_pred", "default_0_5": "CAST(y_prob >= 0.5 AS INTEGER)",
+          "mean_threshold": "CAST(y_prob >= (SELECT avg(threshold) FROM thr) AS INTEGER)"}
+
+
+@register("comparison_table", ops="B25,D30,L5", doubles=["mean_f2", "std_f2"],
+          sql=with_(SCORED + ",\n" + ",\n".join(
+              f"c_{r} AS (SELECT '{r}' AS rule, fold, {confusion_sql(pred=e)} FROM scored GROUP BY fold)" for r, e in _RULES.items())
+              + ",\nu AS (" + " UNION ALL ".join(f"SELECT rule, fold, {F2} AS f2 FROM c_{r}" for r in _RULES) + ")",
+              """SELECT rule, avg(f2) AS mean_f2, stddev_samp(f2) AS std_f2,
+  printf('%.4f (+/-%.4f)', avg(f2), stddev_samp(f2)) AS summary FROM u GROUP BY rule"""))
+def q_comparison_table(spark, sf_dir):
+    scored, _, mt = scored_with_thresholds(spark, sf_dir)
+    rules = {"tuned_per_fold": F.col("y_pred"), "default_0_5": M.apply_threshold("y_prob", 0.5),
+             "mean_threshold": M.apply_threshold("y_prob", mt)}
+    parts = []
+    for name, e in rules.items():
+        c = scored.withColumn("_p", e).groupBy("fold").agg(*M.confusion_aggs(pred="_p"))
+        parts.append(c.select(F.lit(name).alias("rule"), "fold", M.f2().alias("f2")))
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    g = u.groupBy("rule").agg(F.avg("f2").alias("mean_f2"), F.stddev_samp("f2").alias("std_f2"))
+    return g.withColumn("summary", M.mean_std_text("mean_f2", "std_f2"))
