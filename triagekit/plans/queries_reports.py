@@ -110,7 +110,7 @@ def q_error_summary(spark, sf_dir):
     close = E.close_misses(scored, mt).first()["n_close"]
     return c.select(
         "f2", "recall", "precision", "tp", "fp", "fn", "tn", "n", F.lit(mt).alias("mean_threshold"),
-        F.lit(int(close)).alias("n_close_fn"),
+        F.lit(int(close)).cast("long").alias("n_close_fn"),
         F.lit(mr.get(2)).cast("double").alias("miss_rate_level_2"), F.lit(mr.get(3)).cast("double").alias("miss_rate_level_3"),
         ((F.col("tp") + F.col("fn")) * C.COST_FN).alias("cost_no_model"),
         ((F.col("tp") + F.col("fn")) * C.COST_TP + (F.col("fp") + F.col("tn")) * C.COST_FP).alias("cost_flag_all"),
@@ -147,7 +147,8 @@ def q_final_summary(spark, sf_dir):
     mon = E.monitoring_snapshot(s).first()
     return c.select(
         F.lit(mt).alias("mean_threshold"), "f2", "recall", "precision",
-        F.lit(tiers["n_high"]).alias("n_high"), F.lit(tiers["n_medium"]).alias("n_medium"), F.lit(tiers["n_low"]).alias("n_low"),
+        F.lit(tiers["n_high"]).cast("long").alias("n_high"), F.lit(tiers["n_medium"]).cast("long").alias("n_medium"),
+        F.lit(tiers["n_low"]).cast("long").alias("n_low"),
         (F.col("tp") * C.COST_TP + F.col("fp") * C.COST_FP + F.col("fn") * C.COST_FN).alias("cost_model"),
         F.lit(stab["f2_std"]).alias("f2_std_quarters"), F.lit(bool(stab["stable"])).alias("stable"),
         F.lit(mon["flag_rate_pct"]).alias("flag_rate_pct"), F.lit(mon["mean_prob"]).alias("mean_prob"),
@@ -181,7 +182,7 @@ def q_run_summary(spark, sf_dir):
           sql=with_(CASES + ",\nlg AS (" + " UNION ALL ".join(
               f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, escalated FROM cases" for c in C.PROFILE_CAT_COLS) + """),
 g AS (SELECT "column", value, count(*) AS n, avg(CAST(escalated AS DOUBLE)) AS escalation_rate FROM lg GROUP BY ALL)""",
-                    """SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY escalation_rate DESC, value NULLS LAST) AS rank FROM g"""))
+                    """SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY escalation_rate DESC, value NULLS LAST) AS INTEGER) AS rank FROM g"""))
 def q_ranked_features(spark, sf_dir):
     from pyspark.sql import Window
     r = PF.category_rates(cases(spark, sf_dir), C.PROFILE_CAT_COLS)
