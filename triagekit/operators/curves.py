@@ -143,8 +143,11 @@ def threshold_sweep(scored: DataFrame, grid: list[float] | None = None, score: s
     counts at every threshold.
     """
     grid = grid or C.threshold_grid()
-    arr = F.array(*[F.lit(float(t)) for t in grid])
-    idx = F.size(F.filter(arr, lambda t: t <= F.col(score)))
+    # number of grid points at or below the score: plain comparisons, so it stays in whole-stage codegen
+    idx = None
+    for t in grid:
+        term = (F.col(score) >= F.lit(float(t))).cast("int")
+        idx = term if idx is None else idx + term
     h = (scored.select(idx.alias("k"), F.col(label).cast("long").alias("y"))
          .groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")))
     spark = scored.sparkSession

@@ -246,11 +246,16 @@ def q_feature_ablation(spark, sf_dir):
         "tfidf_1000": _text_prep(max_features=1000),
     }
     from . import cv as CV
+    from .parallel import parallel_map
     spec = MD.reference_models()[0]
-    parts = []
-    for name, prep in configs.items():
+    t = t.cache()
+
+    def run(item):
+        name, prep = item
         s = CV.cv_scores(t, [spec], prep, row_id="doc_id")
-        parts.append(CV.cv_fold_metrics(s).withColumn("model", F.lit(name)))
+        return CV.cv_fold_metrics(s).withColumn("model", F.lit(name)).cache()
+
+    parts = parallel_map(run, list(configs.items()), workers=3)
     fm = parts[0]
     for p in parts[1:]:
         fm = fm.unionByName(p)
