@@ -109,8 +109,9 @@ def tfidf_long(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, spec
     """(id, term, weight) for present terms: sublinear tf x idf, L2 per row (relational form of I1)."""
     ex = with_terms(df.select(id_col, text_col), text_col, spec, "_t").select(id_col, F.explode("_t").alias("term"))
     c = ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("c"))
-    # vocabulary is bounded by max_features
-    j = c.join(F.broadcast(vocab.select("term", "idf")), "term")
+    v = vocab.select("term", "idf")
+    # the vocabulary is bounded by max_features; without that bound the planner picks the join
+    j = c.join(F.broadcast(v) if spec.max_features else v, "term")
     tf = (F.lit(1.0) + F.log("c")) if spec.sublinear_tf else F.col("c").cast("double")
     j = j.withColumn("w", tf * F.col("idf"))
     nrm = j.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))

@@ -76,7 +76,8 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
     cum_s = cum.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "v", "c", "cum_c")
     cond = [F.col(f"_k_{k}") == F.col(k) for k in keys] + [(F.col("cum_c") - F.col("c")) <= F.col("i"),
                                                           F.col("i") < F.col("cum_c")]
-    m = F.broadcast(idx).join(cum_s, cond)
+    # 2 * len(qs) target rows per key: broadcast only without keys (a proven bound), else AQE decides
+    m = (F.broadcast(idx) if not keys else idx).join(cum_s, cond)
     piv = m.groupBy(*keys, "q", "pos").agg(F.max(F.when(F.col("side") == "lo", F.col("v"))).alias("v_lo"),
                                            F.max(F.when(F.col("side") == "hi", F.col("v"))).alias("v_hi"))
     frac = F.col("pos") - F.floor("pos")

@@ -139,8 +139,9 @@ def vocabulary_drift(new_text: DataFrame, period_col: str, vocab_terms: DataFram
     uni = FE.TfidfSpec(spec.max_features, 1, spec.min_df, spec.max_df, spec.sublinear_tf, spec.strip_accents)
     tok = FE.with_terms(new_text.select(period_col, text_col), text_col, uni, "_t").select(
         period_col, F.explode("_t").alias("term"))
-    # vocabulary is bounded by max_features
-    j = tok.join(F.broadcast(vocab_terms.select("term", F.lit(1).alias("_in"))), "term", "left")
+    v = vocab_terms.select("term", F.lit(1).alias("_in"))
+    # the vocabulary is bounded by max_features; without that bound the planner picks the join
+    j = tok.join(F.broadcast(v) if spec.max_features else v, "term", "left")
     g = j.groupBy(period_col).agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if(F.col("_in").isNull()).alias("n_oov"))
     r = F.col("n_oov") / F.col("n_tokens")
     return g.select(period_col, "n_tokens", "n_oov", r.alias("oov_rate"), (r > C.OOV_LIMIT).alias("alert"))
