@@ -10,7 +10,7 @@ from ..operators import features as FE
 from ..sources.tables import read_table
 from ..streaming import monitor as MON
 from .queries_ml import _CLEAN_SQL, _TERMS_CTE, _docs_clean
-from .registry import register
+from .registry import REGISTRY, register
 from .sql_cases import RECALL, confusion_sql, with_
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
@@ -136,3 +136,26 @@ def q_retrain_triggers(spark, sf_dir):
     vd = _vocab_drift(spark, sf_dir)
     r = vd.agg((F.sum("n_oov") / F.sum("n_tokens")).alias("r")).first()["r"]  # one scalar
     return MON.retrain_triggers(weekly, float(r or 0.0))
+
+
+@register("monitor_windows_stream", ops="N1,N2,N3",
+          doubles=["flag_rate", "mean_prob", "high_risk_rate", "baseline_mean_prob", "baseline_high_rate"],
+          sql=None)
+def q_monitor_windows_stream(spark, sf_dir):
+    """N1-N3 run as a Structured Streaming query over the events files (file source, watermark,
+    sliding windows, memory sink drained to completion); same result as the batch form."""
+    import os
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    base = MON.baseline(_events(spark, sf_dir))
+    stream = MON.event_stream(spark, os.path.join(sf_dir, "events*.parquet"))
+    name = "tk_windows_" + uuid.uuid4().hex[:12]
+    ck = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    q = MON.start_window_monitor(spark, stream, base, name, ck, output_mode="complete")
+    q.processAllAvailable()
+    q.stop()
+    return spark.table(name)
+
+
+# the streamed windows have the batch form's SQL twin
+REGISTRY["monitor_windows_stream"].sql = REGISTRY["monitor_windows"].sql
