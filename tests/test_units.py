@@ -170,3 +170,18 @@ def test_mann_whitney_against_formula(spark):
     u = sum(1.0 if x > y else 0.5 if x == y else 0.0 for x in a for y in b)
     assert r["u"] == pytest.approx(u)
     assert math.isfinite(r["z"])
+
+
+def test_tail_probabilities(spark):
+    assert ST.chi2_sf(spark, 3.841459, 1) == pytest.approx(0.05, abs=1e-6)
+    assert ST.chi2_sf(spark, 5.991465, 2) == pytest.approx(0.05, abs=1e-6)
+    assert ST.norm_sf(spark, 1.959964) == pytest.approx(0.025, abs=1e-6)
+    assert ST.t_sf(spark, 2.776445, 4) == pytest.approx(0.025, abs=1e-6)
+
+
+def test_f2_evaluator(spark):
+    from triagekit.operators.models import F2Evaluator
+    df = spark.createDataFrame([(0, .9), (1, .8), (1, .7), (0, .4), (1, .3)], "escalated int, y_prob double")
+    f2_fixed = F2Evaluator(threshold=0.7).evaluate(df)
+    assert f2_fixed == pytest.approx(5 * 2 / (5 * 2 + 4 * 1 + 1))
+    assert F2Evaluator().evaluate(df) >= f2_fixed
