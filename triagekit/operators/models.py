@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,6 +77,55 @@ class ModelSpec:
             est = est.setWeightCol(wcol)
         return est
 
+    def fit(self, rows: DataFrame, n_weight_sum: float, label: str = "escalated", features: str = "features"):
+        """Fitted scorer; logistic regression penalises its intercept as liblinear does."""
+        est = self.estimator(n_weight_sum, label, features)
+        if self.kind == "lr":
+            return InterceptPenalisedLR.fit(est, rows, label, features)
+        return est.fit(rows)
+
+
+class InterceptPenalisedLR:
+    """Logistic regression whose intercept is penalised like the other weights (liblinear's objective).
+
+    A constant 1 is appended to the features; on a hash-chosen half of the
+    training rows the whole vector is negated and the label flipped. The
+    logistic loss of a row is unchanged by that flip, the constant column now
+    varies, and with ``fitIntercept=False`` its weight is an intercept inside
+    the penalty. Scoring appends the constant without flipping.
+    """
+
+    def __init__(self, model):
+        self.model = model
+        w = model.coefficients.toArray()
+        self._coef, self._b = w[:-1], float(w[-1])
+
+    @property
+    def coefficients(self):
+        from pyspark.ml.linalg import DenseVector
+        return DenseVector(self._coef)
+
+    @property
+    def intercept(self) -> float:
+        return self._b
+
+    @staticmethod
+    def augment(df: DataFrame, features: str = "features", out: str = "_aug") -> DataFrame:
+        arr = F.concat(vector_to_array(features), F.array(F.lit(1.0)))
+        return df.withColumn(out, array_to_vector(arr))
+
+    @classmethod
+    def fit(cls, est: LogisticRegression, df: DataFrame, label: str, features: str = "features"):
+        arr = F.concat(vector_to_array(features), F.array(F.lit(1.0)))
+        flip = F.pmod(F.xxhash64(vector_to_array(features), F.col(label)), F.lit(2)) == 1
+        x = df.withColumn("_aug", array_to_vector(F.when(flip, F.transform(arr, lambda v: -v)).otherwise(arr))) \
+              .withColumn("_lab", F.when(flip, F.lit(1) - F.col(label)).otherwise(F.col(label)).cast("double"))
+        m = est.copy().setFeaturesCol("_aug").setLabelCol("_lab").setFitIntercept(False).fit(x)
+        return cls(m)
+
+    def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
+        return self.model.transform(self.augment(df, features)).drop("_aug")
+
 
 def reference_models() -> list[ModelSpec]:
     """The five compared configurations (K1-K5)."""

@@ -44,7 +44,7 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
             fit_rows = _smote_vectors(tr, row_id, label) if spec.smote else tr
             fit_rows = MD.weighted(fit_rows, spec, label)
             n_w = fit_rows.agg(F.sum("w")).first()[0] if spec.weighting else fit_rows.count()
-            model = spec.estimator(float(n_w), label).fit(fit_rows)
+            model = spec.fit(fit_rows, float(n_w), label)
             if hooks and "model" in hooks:
                 hooks["model"](spec, k, model, fp)
             splits = [("val", va)] + ([("train", tr)] if keep_train else [])

@@ -116,7 +116,7 @@ def learning_curve(df: DataFrame, prep: FE.Preprocessor, row_id: str = "case_id"
         fp = prep.fit(train)
         tr = MD.weighted(fp.transform(train), spec)
         n_w = tr.agg(F.sum("w")).first()[0]
-        model = spec.estimator(float(n_w)).fit(tr)
+        model = spec.fit(tr, float(n_w))
         out = []
         for name, part in (("train", tr), ("val", fp.transform(val))):
             sc = model.transform(part).select("escalated", F.col("prediction").cast("int").alias("p"))
@@ -162,7 +162,7 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
             vap = MD.pca_transform(va, sc, pca).withColumnRenamed("features", "_f").withColumnRenamed("pcs", "features")
             spec = MD.reference_models()[0]
             trw = MD.weighted(trp, spec)
-            model = spec.estimator(float(trw.agg(F.sum("w")).first()[0])).fit(trw)
+            model = spec.fit(trw, float(trw.agg(F.sum("w")).first()[0]))
             s_tr = MD.positive_probability(model.transform(trp)).select("escalated", "y_prob")
             thr = curves.best_threshold(s_tr, []).first()["threshold"]
             s_va = MD.positive_probability(model.transform(vap)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
@@ -256,7 +256,7 @@ def representative_fold(df: DataFrame, prep: FE.Preprocessor, fold: int = 0):
     fp = prep.fit(train)
     spec = MD.reference_models()[0]
     tr = MD.weighted(fp.transform(train), spec).cache()
-    model = spec.estimator(float(tr.agg(F.sum("w")).first()[0])).fit(tr)
+    model = spec.fit(tr, float(tr.agg(F.sum("w")).first()[0]))
     return model, fp, tr, fp.transform(val)
 
 
