@@ -185,3 +185,26 @@ def test_f2_evaluator(spark):
     f2_fixed = F2Evaluator(threshold=0.7).evaluate(df)
     assert f2_fixed == pytest.approx(5 * 2 / (5 * 2 + 4 * 1 + 1))
     assert F2Evaluator().evaluate(df) >= f2_fixed
+
+
+def test_lr_penalised_intercept_matches_newton(spark):
+    from pyspark.ml.functions import array_to_vector
+    from triagekit.operators import models as MD
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(300, 3))
+    y = (X @ np.array([1.0, -2.0, 0.5]) + 0.7 + rng.normal(size=300) > 0).astype(int)
+    df = spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(X, y)], "a array<double>, escalated int")
+    df = MD.balanced_weights(df.select(array_to_vector("a").alias("features"), "escalated"))
+    C = 0.5
+    m = MD.ModelSpec("lr", "lr", {"penalty": "l2", "C": C}, "balanced").fit(df, float(len(y)))
+    sw = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    ys = np.where(y == 1, 1.0, -1.0)
+    Xa = np.hstack([X, np.ones((len(X), 1))])
+    beta = np.zeros(4)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(ys * (Xa @ beta)))
+        g = beta - C * (Xa.T @ (sw * ys * p))
+        H = np.eye(4) + C * (Xa.T * (sw * p * (1 - p))) @ Xa
+        beta -= np.linalg.solve(H, g)
+    assert np.allclose(m.coefficients.toArray(), beta[:3], atol=1e-3)
+    assert m.intercept == pytest.approx(beta[3], abs=1e-3)
