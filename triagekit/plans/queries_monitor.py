@@ -148,12 +148,18 @@ def q_monitor_windows_stream(spark, sf_dir):
     import uuid
     from ..session import ensure_checkpoint_dir
     base = MON.baseline(_events(spark, sf_dir))
-    stream = MON.event_stream(spark, os.path.join(sf_dir, "events*.parquet"))
     name = "tk_windows_" + uuid.uuid4().hex[:12]
     ck = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    q = MON.start_window_monitor(spark, stream, base, name, ck, output_mode="complete")
-    q.processAllAvailable()
-    q.stop()
+    # event time is read as UTC while the stream runs (watermarks need instants); restored afterwards
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    try:
+        stream = MON.event_stream(spark, os.path.join(sf_dir, "events*.parquet"))
+        q = MON.start_window_monitor(spark, stream, base, name, ck, output_mode="complete")
+        q.processAllAvailable()
+        q.stop()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     return spark.table(name)
 
 
