@@ -93,3 +93,19 @@ def test_streaming_window_monitor_equals_batch(spark):
     q.stop()
     got = {r["window_start"]: (r["n"], round(r["flag_rate"], 9)) for r in spark.sql("SELECT * FROM tk_monitor_windows").collect()}
     assert got == batch
+
+
+def test_knn_exact_with_hot_bucket(spark):
+    rng = np.random.default_rng(9)
+    pts = [[float(x) for x in rng.normal(size=4)] for _ in range(200)] + [[0.5, 0.5, 0.5, 0.5]] * 100
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(pts)], "id long, vec array<double>")
+    nn = SP.knn(df, df.withColumnRenamed("id", "pid"), 3, "id", "pid", "vec", exclude_self=True, block_target=16).collect()
+    got = {}
+    for r in nn:
+        got.setdefault(r["id"], []).append((r["rank"], r["pid"]))
+    X = np.array(pts)
+    ids = np.arange(len(pts))
+    for i in list(range(0, 200, 17)) + [200, 250, 299]:
+        d = ((X - X[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        assert [b for _, b in sorted(got[i])] == list(np.lexsort((ids, d))[:3])

@@ -152,9 +152,11 @@ def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec:
     re-run on every bucket of the band of half-width equal to their current
     k-th distance (an upper bound of the true one), which is exact. No cap is
     placed on candidates; pairs only form inside bucket blocks, whose
-    distances are computed with numpy inside the tasks (cogrouped by bucket,
+    distances are computed with numpy inside the tasks (cogrouped by block,
     with an explicit partition count so small-but-CPU-heavy stages stay
-    parallel).
+    parallel). A bucket holding a large share of the points (skewed
+    projections) is cut into point-chunk x query-chunk blocks of at most
+    ``block_target`` each, so no group grows with the data.
     """
     from pyspark.ml.feature import PCA as _PCA
     from pyspark.ml.functions import array_to_vector
@@ -177,16 +179,28 @@ def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec:
     lo, hi = float(st[0]), float(st[1])
     nb = max(1, n // block_target)
     w = (hi - lo) / nb if hi > lo else 1.0
-    parts = max(1, min(nb + 1, 4 * queries.sparkSession.sparkContext.defaultParallelism))
+    parts = max(1, 4 * queries.sparkSession.sparkContext.defaultParallelism)
     pb = p.withColumn("_b", F.least(F.greatest(F.floor((F.col("_pproj") - lo) / w), F.lit(0)), F.lit(nb)).cast("long"))
-    pbs = pb.select("_b", "_p", "_pv").repartition(parts, "_b")
+    pcount = pb.groupBy("_b").agg(F.count(F.lit(1)).alias("_np"))
     schema = T.StructType([T.StructField("_q", qtype), T.StructField("_p", ptype), T.StructField("_d2", T.DoubleType())])
     fn = _block_topk(k, exclude_self)
+    keys = ["_b", "_pc", "_qc"]
 
     def blocks(qb: DataFrame) -> DataFrame:
-        part = qb.select("_b", "_q", "_qv").repartition(parts, "_b")
-        res = part.groupBy("_b").cogroup(pbs.groupBy("_b")).applyInPandas(fn, schema)
-        wq = Window.partitionBy("_q").orderBy("_d2", "_p")  # at most k rows per (query, bucket)
+        # a hot bucket is cut into (point chunk x query chunk) blocks of bounded size
+        qcount = qb.groupBy("_b").agg(F.count(F.lit(1)).alias("_nq"))
+        ch = qcount.join(pcount, "_b").select(
+            "_b", F.greatest(F.lit(1), F.ceil(F.col("_np") / block_target)).cast("long").alias("_cp"),
+            F.greatest(F.lit(1), F.ceil(F.col("_nq") / block_target)).cast("long").alias("_cq"))
+        pts = pb.select("_b", "_p", "_pv").join(ch, "_b").select(
+            "_b", "_p", "_pv", F.pmod(F.xxhash64(F.col("_p")), F.col("_cp")).alias("_pc"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cq") - 1)).alias("_qc"))
+        qs = qb.select("_b", "_q", "_qv").join(ch, "_b").select(
+            "_b", "_q", "_qv", F.pmod(F.xxhash64(F.col("_q")), F.col("_cq")).alias("_qc"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cp") - 1)).alias("_pc"))
+        res = (qs.repartition(parts, *keys).groupBy(*keys)
+               .cogroup(pts.repartition(parts, *keys).groupBy(*keys)).applyInPandas(fn, schema))
+        wq = Window.partitionBy("_q").orderBy("_d2", "_p")  # at most k rows per (query, block)
         return res.withColumn("_rank", F.row_number().over(wq)).filter(F.col("_rank") <= k)
 
     # round 1: own bucket and neighbours
