@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
+from . import curves
 from . import splits as SP
 
 
@@ -128,7 +129,8 @@ def representative_rows(scored: DataFrame, row_id: str = "case_id") -> DataFrame
     """Example rows: TP highest and median score, FN highest and lowest, FP highest.
 
     Extremes are max_by/min_by aggregates (ties -> lowest id); the median-ranked
-    TP is located by a bucketed position, never a whole-class window.
+    TP is an exact order statistic found with bucketed prefix sums, never a
+    whole-class window, even when many rows share one score.
     """
     lab = scored.withColumn("prediction_type", M.prediction_type())
     ext = lab.groupBy("prediction_type").agg(
@@ -142,12 +144,23 @@ def representative_rows(scored: DataFrame, row_id: str = "case_id") -> DataFrame
     keep = ((F.col("prediction_type") == "TP") & (F.col("pick") == "highest")) | \
            ((F.col("prediction_type") == "FN")) | ((F.col("prediction_type") == "FP") & (F.col("pick") == "highest"))
     picks = picks.filter(keep)
-    tp = lab.filter(F.col("prediction_type") == "TP").withColumn("_k", F.lit(0))
-    tpo = tp.select("_k", row_id, "y_prob", F.struct("y_prob", row_id).alias("_o"))
-    pos = SP._positions(tpo, ["_k"], "_o", F.least(F.floor(F.col("y_prob") * SP.HASH_BUCKETS),
-                                                     F.lit(SP.HASH_BUCKETS)).cast("int"))
-    n_tp = ext.filter(F.col("prediction_type") == "TP").select("n")
-    med = pos.join(F.broadcast(n_tp), F.col("_pos") == F.floor(F.col("n") / 2)).select(
-        F.lit("TP").alias("prediction_type"), F.lit("median").alias("pick"), row_id)
+    # median-ranked TP in (score, id) order: find the score holding the rank from a per-score
+    # histogram, then rank only the rows with that score by id (both steps bucketed, exact)
+    tp = lab.filter(F.col("prediction_type") == "TP")
+    n_tp = ext.filter(F.col("prediction_type") == "TP").select("n").first()
+    if n_tp is None:
+        med = lab.limit(0).select(F.lit("TP").alias("prediction_type"), F.lit("median").alias("pick"), row_id)
+    else:
+        target = int(n_tp["n"]) // 2
+        hist = tp.groupBy("y_prob").agg(F.count(F.lit(1)).alias("c"))
+        cum = curves.cumulative(hist, [], "y_prob", ["c"], descending=False)
+        hit = cum.filter((F.col("cum_c") - F.col("c") <= target) & (F.col("cum_c") > target)).first()
+        sub = tp.filter(F.col("y_prob") == F.lit(hit["y_prob"])).withColumn("_k", F.lit(0))
+        mm = sub.agg(F.min(row_id), F.max(row_id)).first()
+        pos = SP._positions(sub.select("_k", row_id), ["_k"], row_id,
+                            curves.range_bucket(row_id, float(mm[0]), float(mm[1]), SP.HASH_BUCKETS))
+        offset = target - (int(hit["cum_c"]) - int(hit["c"]))
+        med = pos.filter(F.col("_pos") == offset).select(F.lit("TP").alias("prediction_type"),
+                                                          F.lit("median").alias("pick"), row_id)
     allp = picks.unionByName(med)
     return allp.join(lab.select(row_id, "y_prob", "escalated", "prediction_type"), [row_id, "prediction_type"])
