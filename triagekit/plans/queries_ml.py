@@ -259,9 +259,11 @@ def q_feature_ablation(spark, sf_dir):
     fm = parts[0]
     for p in parts[1:]:
         fm = fm.unionByName(p)
+    fm = fm.cache()
     tab = S._fold_f2_table(fm).withColumnRenamed("model", "configuration")
     base = float(tab.filter(F.col("configuration") == "full").first()["f2_mean"])
-    return tab.withColumn("delta_vs_baseline", F.col("f2_mean") - F.lit(base))
+    tt = S.paired_vs_baseline(fm, "full").withColumnRenamed("model", "configuration").drop("mean_diff_vs_baseline")
+    return tab.withColumn("delta_vs_baseline", F.col("f2_mean") - F.lit(base)).join(tt, "configuration", "left")
 
 
 @register("drop_feature_ablation", ops="L7")
@@ -328,3 +330,11 @@ def q_silhouette_sample(spark, sf_dir):
     sample = SP.seeded_sample(m, "case_id", C.SILHOUETTE_SAMPLE)
     t = S.kmeans_study(sample, _case_prep(), ks=[2])
     return t.select("k", "silhouette_sq_euclidean").withColumn("sample_rows", F.lit(C.SILHOUETTE_SAMPLE))
+
+
+@register("report_permutation", ops="P7,M2")
+def q_report_permutation(spark, sf_dir):
+    """Permutation rows with mean magnitude above 0.001 (all rows if none qualify)."""
+    pi = S.fold_permutation_importance(_model_cases(spark, sf_dir), _case_prep(), 0).cache()
+    big = pi.filter(F.abs("importance_mean") > 0.001)
+    return big if big.limit(1).count() > 0 else pi

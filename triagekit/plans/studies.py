@@ -19,6 +19,7 @@ from ..operators import features as FE
 from ..operators import interpret as IN
 from ..operators import models as MD
 from ..operators import splits as SP
+from ..operators import stats as ST
 from . import cv
 
 
@@ -28,6 +29,22 @@ def _fold_f2_table(fm: DataFrame, name_col: str = "model") -> DataFrame:
                                     F.avg("precision_tuned").alias("precision"))
 
 
+def paired_vs_baseline(fm: DataFrame, baseline: str, name_col: str = "model", metric: str = "f2_tuned",
+                       fold: str = "fold") -> DataFrame:
+    """Per config: mean fold difference to the baseline, paired t and two-sided p."""
+    b = fm.filter(F.col(name_col) == baseline).select(fold, F.col(metric).alias("_b"))
+    d = fm.filter(F.col(name_col) != baseline).join(b, fold).select(name_col, (F.col(metric) - F.col("_b")).alias("d"))
+    g = d.groupBy(name_col).agg(F.count(F.lit(1)).alias("_n"), F.avg("d").alias("mean_diff_vs_baseline"),
+                                F.stddev_samp("d").alias("_sd"))
+    g = g.withColumn("t_vs_baseline", F.col("mean_diff_vs_baseline") / (F.col("_sd") / F.sqrt("_n")))
+    spark = fm.sparkSession
+    rows = g.select(name_col, "t_vs_baseline", "_n").collect()  # one row per config
+    ps = [(r[name_col], 2.0 * ST.t_sf(spark, abs(r["t_vs_baseline"]), r["_n"] - 1)
+           if r["t_vs_baseline"] is not None and r["t_vs_baseline"] == r["t_vs_baseline"] else None) for r in rows]
+    pt = spark.createDataFrame(ps, f"{name_col} string, p_vs_baseline double")
+    return g.drop("_n", "_sd").join(pt, name_col)
+
+
 def lr_cv(df: DataFrame, prep: FE.Preprocessor, **kw) -> DataFrame:
     """Baseline LR fold table (L1): fold, F2 (tuned and default), PR-AUC, precision, recall, counts."""
     s = cv.cv_scores(df, [MD.reference_models()[0]], prep, **kw)
@@ -37,8 +54,10 @@ def lr_cv(df: DataFrame, prep: FE.Preprocessor, **kw) -> DataFrame:
 def compare_models(df: DataFrame, prep: FE.Preprocessor, specs: list[MD.ModelSpec]) -> DataFrame:
     """Model comparison with ranking and selection."""
     s = cv.cv_scores(df, specs, prep).cache()
-    fm = cv.cv_fold_metrics(s)
-    return cv.rank_models(cv.model_summary(fm, s))
+    fm = cv.cv_fold_metrics(s).cache()
+    ranked = cv.rank_models(cv.model_summary(fm, s))
+    base = specs[0].name
+    return ranked.join(paired_vs_baseline(fm, base), "model", "left")
 
 
 def regularisation_study(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
@@ -235,9 +254,11 @@ def feature_ablation(df: DataFrame, configs: dict[str, FE.Preprocessor], baselin
     fm = parts[0]
     for p in parts[1:]:
         fm = fm.unionByName(p)
+    fm = fm.cache()
     t = _fold_f2_table(fm).withColumnRenamed("model", "configuration")
     base_f2 = float(t.filter(F.col("configuration") == baseline).first()["f2_mean"])  # one scalar
-    return t.withColumn("delta_vs_baseline", F.col("f2_mean") - F.lit(base_f2))
+    tt = paired_vs_baseline(fm, baseline).withColumnRenamed("model", "configuration").drop("mean_diff_vs_baseline")
+    return t.withColumn("delta_vs_baseline", F.col("f2_mean") - F.lit(base_f2)).join(tt, "configuration", "left")
 
 
 def drop_feature_ablation(df: DataFrame, prep: FE.Preprocessor, col: str = "sentiment") -> DataFrame:
