@@ -360,11 +360,9 @@ def q_max_correlation(spark, sf_dir):
     return ST.max_correlation(ST.correlations(read_table(spark, sf_dir, "lineitem"), LINE_NUMERICS))
 
 
-def _vif_sql(cols: list[str]) -> str:
+def _vif_ctes(cols: list[str]) -> str:
     """Closed-form VIF for four columns: diagonal of the inverse correlation matrix = minor / determinant."""
-    a, b, c, d = cols
     r = {(i, j): f"corr({x}, {y})" for i, x in enumerate(cols) for j, y in enumerate(cols) if i < j}
-    names = "r12, r13, r14, r23, r24, r34"
     det = ("1 - (r12*r12 + r13*r13 + r14*r14 + r23*r23 + r24*r24 + r34*r34)"
            " + (r12*r12*r34*r34 + r13*r13*r24*r24 + r14*r14*r23*r23)"
            " + 2*(r12*r13*r23 + r12*r14*r24 + r13*r14*r34 + r23*r24*r34)"
@@ -373,9 +371,12 @@ def _vif_sql(cols: list[str]) -> str:
     minors = [minor("r23", "r24", "r34"), minor("r13", "r14", "r34"), minor("r12", "r14", "r24"), minor("r12", "r13", "r23")]
     rs = ", ".join(f"{r[k]} AS r{k[0] + 1}{k[1] + 1}" for k in sorted(r))
     parts = " UNION ALL ".join(f"SELECT '{col}' AS feature, {m} / ({det}) AS vif FROM rr" for col, m in zip(cols, minors))
-    return f"""WITH rr AS (SELECT {rs} FROM lineitem), v AS ({parts})
-SELECT feature, vif, 1 - 1 / vif AS r_squared,
-  CASE WHEN vif < {C.VIF_WARN} THEN 'ok' WHEN vif < {C.VIF_HIGH} THEN 'moderate' ELSE 'high' END AS verdict FROM v"""
+    return f"rr AS (SELECT {rs} FROM lineitem),\nvf AS ({parts})"
+
+
+def _vif_sql(cols: list[str]) -> str:
+    return with_(_vif_ctes(cols), f"""SELECT feature, vif, 1 - 1 / vif AS r_squared,
+  CASE WHEN vif < {C.VIF_WARN} THEN 'ok' WHEN vif < {C.VIF_HIGH} THEN 'moderate' ELSE 'high' END AS verdict FROM vf""")
 
 
 @register("vif", ops="E7", doubles=["vif", "r_squared"], sql=_vif_sql(LINE_NUMERICS))

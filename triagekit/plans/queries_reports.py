@@ -155,7 +155,20 @@ def q_final_summary(spark, sf_dir):
         F.lit(mon["high_risk_rate_pct"]).alias("high_risk_rate_pct"))
 
 
-@register("feature_summary", ops="Q1,E5,E6,E7")
+def _feature_summary_sql() -> str:
+    from .queries_profile import _CORR_SQL, _CV_BODY, _CV_LONG, _chi_sql, _vif_ctes, LINE_NUMERICS
+    from .sql_cases import MODEL
+    ctes = MODEL + ",\n" + _chi_sql(_CV_LONG) + ",\ncv AS (" + _CV_BODY + "),\n" + _CORR_SQL + ",\n" + _vif_ctes(LINE_NUMERICS)
+    return with_(ctes, """SELECT (SELECT first(col_a ORDER BY abs(r) DESC) FROM cr) AS corr_a,
+  (SELECT first(col_b ORDER BY abs(r) DESC) FROM cr) AS corr_b, (SELECT max(abs(r)) FROM cr) AS max_abs_r,
+  (SELECT first(feature_1 ORDER BY cramers_v DESC, feature_1, feature_2) FROM cv) AS cramers_a,
+  (SELECT first(feature_2 ORDER BY cramers_v DESC, feature_1, feature_2) FROM cv) AS cramers_b,
+  (SELECT max(cramers_v) FROM cv) AS max_cramers_v,
+  (SELECT first(feature ORDER BY vif DESC) FROM vf) AS vif_feature, (SELECT max(vif) FROM vf) AS max_vif""")
+
+
+@register("feature_summary", ops="Q1,E5,E6,E7", doubles=["max_abs_r", "max_cramers_v", "max_vif"],
+          sql=_feature_summary_sql())
 def q_feature_summary(spark, sf_dir):
     from .queries_profile import LINE_NUMERICS
     li = read_table(spark, sf_dir, "lineitem")
