@@ -6,13 +6,13 @@ broadcast; the scored table is otherwise a narrow projection of the cases.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
 from ..operators import curves
+from ..session import persist_shared
 from ..sources.cases import cases, prepare
 
 
@@ -53,7 +53,7 @@ def scored_with_thresholds(spark: SparkSession, sf_dir: str):
     aggregate, so they are persisted once (memory, spilling to disk; lost
     blocks are recomputed from lineage).
     """
-    base = prepare(cases(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    base = persist_shared(prepare(cases(spark, sf_dir)))
     thr = curves.fold_thresholds(base).cache()
     scored = (base.join(F.broadcast(thr.select("fold", "threshold")), "fold")
               .withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold"))))
@@ -63,6 +63,6 @@ def scored_with_thresholds(spark: SparkSession, sf_dir: str):
 
 def scored_mean_cases(spark: SparkSession, sf_dir: str):
     """(mean-threshold scored table, mean threshold); prepared cases persisted as above."""
-    base = prepare(cases(spark, sf_dir)).persist(StorageLevel.MEMORY_AND_DISK)
+    base = persist_shared(prepare(cases(spark, sf_dir)))
     mt = mean_threshold(base)
     return with_mean_threshold(base, mt), mt

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # let AQE coalesce / re-plan the shuffles inside persisted plans too
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -71,3 +73,17 @@ def cut_lineage(df):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def persist_shared(df):
+    """Persist a table several aggregates will read (memory, spilling to disk).
+
+    Lost blocks are recomputed from lineage. If the caller has not decided,
+    AQE is allowed to re-plan the persisted plan's shuffles as well.
+    """
+    from pyspark import StorageLevel
+    spark = df.sparkSession
+    key = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, "true")
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
