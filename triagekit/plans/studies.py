@@ -20,6 +20,7 @@ from ..operators import interpret as IN
 from ..operators import models as MD
 from ..operators import splits as SP
 from ..operators import stats as ST
+from ..session import cut_lineage
 from . import cv
 
 
@@ -53,7 +54,8 @@ def lr_cv(df: DataFrame, prep: FE.Preprocessor, **kw) -> DataFrame:
 
 def compare_models(df: DataFrame, prep: FE.Preprocessor, specs: list[MD.ModelSpec]) -> DataFrame:
     """Model comparison with ranking and selection."""
-    s = cv.cv_scores(df, specs, prep).cache()
+    # the scored table unions every (model, fold, split): checkpoint it to the shared folder
+    s = cut_lineage(cv.cv_scores(df, specs, prep))
     fm = cv.cv_fold_metrics(s).cache()
     ranked = cv.rank_models(cv.model_summary(fm, s))
     base = specs[0].name
@@ -64,7 +66,7 @@ def regularisation_study(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
     """F2 mean / population std and mean non-zero coefficients per LR penalty config (K7)."""
     nz = []
     hooks = {"model": lambda spec, k, model, fp: nz.append((spec.name, k, MD.nonzero_coefficients(model)))}
-    s = cv.cv_scores(df, MD.regularisation_models(), prep, hooks=hooks)
+    s = cut_lineage(cv.cv_scores(df, MD.regularisation_models(), prep, hooks=hooks))
     t = _fold_f2_table(cv.cv_fold_metrics(s))
     spark = df.sparkSession
     z = spark.createDataFrame(nz, "model string, fold int, nonzero int").groupBy("model").agg(
