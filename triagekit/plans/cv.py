@@ -32,34 +32,39 @@ def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
 def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, fold: str = "fold",
               label: str = "escalated", row_id: str = "case_id", n_folds: int = C.N_FOLDS,
               keep_train: bool = True, hooks: dict | None = None) -> DataFrame:
-    """Long scored table for every (model, fold, split); folds are fitted concurrently."""
-    def one_fold(k):
-        parts = []
+    """Long scored table for every (model, fold, split); (fold, model) fits run concurrently."""
+    def prepare_fold(k):
         train = df.filter(F.col(fold) != k)
         val = df.filter(F.col(fold) == k)
         fp = prep.fit(train)
         tr = fp.transform(train).select(F.col(row_id).cast("string").alias(row_id), label, "features").cache()
         va = fp.transform(val).select(F.col(row_id).cast("string").alias(row_id), label, "features").cache()
-        for spec in specs:
-            fit_rows = _smote_vectors(tr, row_id, label) if spec.smote else tr
-            fit_rows = MD.weighted(fit_rows, spec, label)
-            n_w = fit_rows.agg(F.sum("w")).first()[0] if spec.weighting else fit_rows.count()
-            model = spec.fit(fit_rows, float(n_w), label)
-            if hooks and "model" in hooks:
-                hooks["model"](spec, k, model, fp)
-            splits = [("val", va)] + ([("train", tr)] if keep_train else [])
-            for name, part in splits:
-                s = model.transform(part)
-                if spec.kind == "linreg":
-                    s = s.withColumn("y_prob", F.col("prediction"))
-                else:
-                    s = MD.positive_probability(s)
-                parts.append(s.select(F.lit(spec.name).alias("model"), F.lit(k).alias(fold), F.lit(name).alias("split"),
-                                      row_id, label, "y_prob",
-                                      (F.col("y_prob") > 0.5).cast("int").alias("y_default")))
+        return k, fp, tr, va
+
+    prepared = parallel_map(prepare_fold, range(n_folds))
+
+    def fit_one(item):
+        (k, fp, tr, va), spec = item
+        fit_rows = _smote_vectors(tr, row_id, label) if spec.smote else tr
+        fit_rows = MD.weighted(fit_rows, spec, label)
+        n_w = fit_rows.agg(F.sum("w")).first()[0] if spec.weighting else fit_rows.count()
+        model = spec.fit(fit_rows, float(n_w), label)
+        if hooks and "model" in hooks:
+            hooks["model"](spec, k, model, fp)
+        parts = []
+        splits = [("val", va)] + ([("train", tr)] if keep_train else [])
+        for name, part in splits:
+            s = model.transform(part)
+            if spec.kind == "linreg":
+                s = s.withColumn("y_prob", F.col("prediction"))
+            else:
+                s = MD.positive_probability(s)
+            parts.append(s.select(F.lit(spec.name).alias("model"), F.lit(k).alias(fold), F.lit(name).alias("split"),
+                                  row_id, label, "y_prob", (F.col("y_prob") > 0.5).cast("int").alias("y_default")))
         return parts
 
-    parts = [p for ps in parallel_map(one_fold, range(n_folds)) for p in ps]
+    items = [(p, spec) for p in prepared for spec in specs]
+    parts = [p for ps in parallel_map(fit_one, items) for p in ps]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

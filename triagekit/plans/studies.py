@@ -95,27 +95,35 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
     from .parallel import parallel_map
     n_max = max(grid["n_estimators"])
 
-    def one_fold(k):
+    def prepare_fold(k):
         train = df.filter(F.col("fold") != k)
         val = df.filter(F.col("fold") == k)
         fp = prep.fit(train)
         tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).cache()
         va = fp.transform(val).select(label, "features").cache()
+        tr.count()
+        va.count()
+        return tr, va
+
+    folds = dict(zip(range(C.N_FOLDS), parallel_map(prepare_fold, range(C.N_FOLDS))))
+
+    def one_fit(item):
+        k, d, lr = item
+        tr, va = folds[k]
+        spec = MD.ModelSpec("gbt", "gbt", {"n_estimators": n_max, "max_depth": d, "learning_rate": lr}, "pos")
+        full = spec.estimator(1.0, label).fit(tr)
         out = []
-        for d in grid["max_depth"]:
-            for lr in grid["learning_rate"]:
-                spec = MD.ModelSpec("gbt", "gbt", {"n_estimators": n_max, "max_depth": d, "learning_rate": lr}, "pos")
-                full = spec.estimator(1.0, label).fit(tr)
-                for n in grid["n_estimators"]:
-                    m = MD.truncate_gbt(full, n)
-                    s_tr = MD.positive_probability(m.transform(tr)).select(label, "y_prob")
-                    thr = float(curves.best_threshold(s_tr, [], "y_prob", label).first()["threshold"])
-                    s_va = MD.positive_probability(m.transform(va)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
-                    f2 = s_va.agg(*M.confusion_aggs(label, "y_pred")).select(M.f2().alias("f2")).first()["f2"]
-                    out.append((int(n), int(d), float(lr), int(k), float(f2)))
+        for n in grid["n_estimators"]:
+            m = MD.truncate_gbt(full, n)
+            s_tr = MD.positive_probability(m.transform(tr)).select(label, "y_prob")
+            thr = float(curves.best_threshold(s_tr, [], "y_prob", label).first()["threshold"])
+            s_va = MD.positive_probability(m.transform(va)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
+            f2 = s_va.agg(*M.confusion_aggs(label, "y_pred")).select(M.f2().alias("f2")).first()["f2"]
+            out.append((int(n), int(d), float(lr), int(k), float(f2)))
         return out
 
-    rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
+    items = [(k, d, lr) for k in range(C.N_FOLDS) for d in grid["max_depth"] for lr in grid["learning_rate"]]
+    rows = [r for rs in parallel_map(one_fit, items, workers=6) for r in rs]
     t = df.sparkSession.createDataFrame(rows, "n_estimators int, max_depth int, learning_rate double, fold int, f2 double")
     g = t.groupBy("n_estimators", "max_depth", "learning_rate").agg(F.avg("f2").alias("mean_f2"),
                                                                     F.stddev_samp("f2").alias("std_f2"))
