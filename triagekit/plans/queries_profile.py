@@ -382,3 +382,13 @@ def _vif_sql(cols: list[str]) -> str:
 @register("vif", ops="E7", doubles=["vif", "r_squared"], sql=_vif_sql(LINE_NUMERICS))
 def q_vif(spark, sf_dir):
     return ST.vif(read_table(spark, sf_dir, "lineitem"), LINE_NUMERICS)
+
+
+@register("short_texts", ops="B12,B8,B9",
+          sql=f"""SELECT count(*) AS n_texts, count(*) FILTER (WHERE length(text) < 10) AS n_under_10_chars,
+  count(*) FILTER (WHERE len(regexp_extract_all(text, '{WORD_RUN}')) < 3) AS n_under_3_words
+FROM {DOCS} WHERE text IS NOT NULL""")
+def q_short_texts(spark, sf_dir):
+    st = PF.text_stats(_docs(spark, sf_dir).filter(F.col("text").isNotNull()), "doc_id", "text")
+    return st.agg(F.count(F.lit(1)).alias("n_texts"), F.count_if(F.col("n_chars") < 10).alias("n_under_10_chars"),
+                  F.count_if(F.col("word_count") < 3).alias("n_under_3_words"))
