@@ -109,3 +109,18 @@ def test_knn_exact_with_hot_bucket(spark):
         d = ((X - X[i]) ** 2).sum(axis=1)
         d[i] = np.inf
         assert [b for _, b in sorted(got[i])] == list(np.lexsort((ids, d))[:3])
+
+
+def test_streaming_segment_monitor_equals_batch(spark):
+    ev = MON.batch_events(spark, SF_SMALL)
+    batch = {(r["week_start"], r["segment"]): (r["n"], round(r["flag_rate"], 9))
+             for r in MON.segment_deviation(MON.segment_rates(ev)).collect()}
+    sink = tempfile.mkdtemp(prefix="tk-seg-")
+    ck = tempfile.mkdtemp(prefix="tk-ck-")
+    stream = MON.event_stream(spark, os.path.join(SF_SMALL, "events*.parquet"))
+    q = MON.start_segment_monitor(spark, stream, os.path.join(sink, "out"), ck)
+    q.processAllAvailable()
+    q.stop()
+    got = {(r["week_start"], r["segment"]): (r["n"], round(r["flag_rate"], 9))
+           for r in spark.read.parquet(os.path.join(sink, "out")).collect()}
+    assert got == batch
