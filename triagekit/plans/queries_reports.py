@@ -224,3 +224,28 @@ def q_comparison_table(spark, sf_dir):
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     g = u.groupBy("rule").agg(F.avg("f2").alias("mean_f2"), F.stddev_samp("f2").alias("std_f2"))
     return g.withColumn("summary", M.mean_std_text("mean_f2", "std_f2"))
+
+
+@register("report_tables", ops="P1,D2,D12,D36", doubles=["value"],
+          sql=with_(CASES + """,
+tot AS (SELECT count(*) AS n_all FROM cases),
+p AS (
+  SELECT 'target' AS panel, CAST(escalated AS VARCHAR) AS key, count(*) AS n,
+         count(*) / (SELECT n_all FROM tot) * 100 AS value FROM cases GROUP BY escalated
+  UNION ALL SELECT 'rate_by_sentiment', sentiment, count(*), avg(CAST(escalated AS DOUBLE)) FROM cases GROUP BY sentiment
+  UNION ALL SELECT 'rate_by_issue', issue_category, count(*), avg(CAST(escalated AS DOUBLE)) FROM cases GROUP BY issue_category
+  UNION ALL SELECT 'missing_by_class', CAST(escalated AS VARCHAR), count(*),
+         avg(CASE WHEN sentiment IS NULL THEN 1.0 ELSE 0.0 END) * 100 FROM cases GROUP BY escalated)""",
+                    "SELECT * FROM p"))
+def q_report_tables(spark, sf_dir):
+    """EDA overview panels in long form: target shares, rates by sentiment / issue, missingness by class."""
+    c = cases(spark, sf_dir)
+    t = PF.target_distribution(c).select(F.lit("target").alias("panel"), F.col("escalated").cast("string").alias("key"),
+                                         "n", F.col("pct").alias("value"))
+    r = PF.category_rates(c, ["sentiment", "issue_category"]).select(
+        F.when(F.col("column") == "sentiment", "rate_by_sentiment").otherwise("rate_by_issue").alias("panel"),
+        F.col("value").alias("key"), "n", F.col("escalation_rate").alias("value"))
+    m = c.groupBy("escalated").agg(F.count(F.lit(1)).alias("n"),
+                                   (F.avg(F.col("sentiment").isNull().cast("double")) * 100).alias("value")).select(
+        F.lit("missing_by_class").alias("panel"), F.col("escalated").cast("string").alias("key"), "n", "value")
+    return t.unionByName(r).unionByName(m)
