@@ -54,12 +54,15 @@ def tfidf_vocabulary(df: DataFrame, text_col: str, spec: TfidfSpec = TfidfSpec()
     then the ``max_features`` most frequent terms (ties by term); indices
     follow term order. Smooth idf: ln((1+n)/(1+df)) + 1.
     """
-    did = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    docs = with_terms(df.select(did.alias("_d"), text_col), text_col, spec, "t").select("_d", "t")
-    n_docs = docs.count()
-    ex = docs.select("_d", F.explode("t").alias("term"))
-    per_doc = ex.groupBy("_d", "term").agg(F.count(F.lit(1)).alias("c"))
-    stats = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("c").alias("tf"))
+    docs = with_terms(df.select(text_col), text_col, spec, "t").select("t")
+    n_docs = df.count()
+    # one explode of every token (tf) and of each document's distinct terms (df), one grouped
+    # aggregation: map-side combining shuffles per-partition distinct terms, not every token
+    tagged = F.concat(
+        F.transform("t", lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
+        F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))))
+    ex = docs.select(F.explode(tagged).alias("e")).select("e.term", "e.tf", "e.df")
+    stats = ex.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
     max_doc = spec.max_df * n_docs if isinstance(spec.max_df, float) else spec.max_df
     kept = stats.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(max_doc)))
     if spec.max_features:
@@ -106,16 +109,19 @@ class TfidfModel:
 
 
 def tfidf_long(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame, spec: TfidfSpec = TfidfSpec()) -> DataFrame:
-    """(id, term, weight) for present terms: sublinear tf x idf, L2 per row (relational form of I1)."""
-    ex = with_terms(df.select(id_col, text_col), text_col, spec, "_t").select(id_col, F.explode("_t").alias("term"))
-    c = ex.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("c"))
-    v = vocab.select("term", "idf")
-    # the vocabulary is bounded by max_features; without that bound the planner picks the join
-    j = c.join(F.broadcast(v) if spec.max_features else v, "term")
-    tf = (F.lit(1.0) + F.log("c")) if spec.sublinear_tf else F.col("c").cast("double")
-    j = j.withColumn("w", tf * F.col("idf"))
-    nrm = j.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nrm"))
-    return j.join(nrm, id_col).select(id_col, "term", (F.col("w") / F.col("nrm")).alias("weight"))
+    """(id, term, weight) for present terms: sublinear tf x idf, L2 per row (relational form of I1).
+
+    Per-row term counts come from ``CountVectorizerModel`` (no token shuffle); the
+    vocabulary (at most max_features terms) is read once on the driver.
+    """
+    rows = vocab.orderBy("index").collect()
+    model = TfidfModel(spec, [r["term"] for r in rows], [float(r["idf"]) for r in rows])
+    x = model.transform(df.select(id_col, text_col), text_col, "_v").select(
+        id_col, F.posexplode(vector_to_array("_v")).alias("index", "weight")).filter(F.col("weight") != 0)
+    names = df.sparkSession.createDataFrame([(i, t) for i, t in enumerate(model.vocab)], "index int, term string")
+    # bounded by max_features
+    j = x.join(F.broadcast(names) if spec.max_features else names, "index")
+    return j.select(id_col, "term", "weight")
 
 
 # ----------------------------------------------------------------------------------- one-hot / scaling
