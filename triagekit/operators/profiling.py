@@ -115,20 +115,36 @@ def text_stats(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
                      F.size(F.regexp_extract_all(F.col(text_col), F.lit(WORD_RUN), 0)).alias("word_count"))
 
 
+def _text_groups(df: DataFrame, text_col: str):
+    """(singletons, repeated groups) of exact texts, shuffling full texts only for repeated hashes.
+
+    Phase 1 counts a 64-bit hash per row; texts whose hash is unique are
+    distinct for sure. Phase 2 groups the full text of the remaining rows, so
+    hash collisions are resolved exactly.
+    """
+    x = df.filter(F.col(text_col).isNotNull()).select(text_col, F.xxhash64(text_col).alias("_h"))
+    hc = x.groupBy("_h").agg(F.count(F.lit(1)).alias("_hn"))
+    singles = hc.filter(F.col("_hn") == 1)
+    cand = x.join(hc.filter(F.col("_hn") > 1).select("_h"), "_h", "left_semi")
+    groups = cand.groupBy("_h", text_col).agg(F.count(F.lit(1)).alias("n"))
+    return singles, groups
+
+
 def duplicate_texts(df: DataFrame, text_col: str, k: int = 5) -> DataFrame:
     """Most repeated exact texts with their counts: a top-k report."""
-    g = df.filter(F.col(text_col).isNotNull()).groupBy(text_col).agg(F.count(F.lit(1)).alias("n"))
-    return g.filter(F.col("n") > 1).orderBy(F.col("n").desc(), F.col(text_col)).limit(k)
+    _, groups = _text_groups(df, text_col)
+    return groups.filter(F.col("n") > 1).orderBy(F.col("n").desc(), F.col(text_col)).limit(k).select(text_col, "n")
 
 
 def text_uniqueness(df: DataFrame, text_col: str) -> DataFrame:
     """Total rows, distinct texts, rows in duplicated groups, excess copies."""
-    g = df.filter(F.col(text_col).isNotNull()).groupBy(text_col).agg(F.count(F.lit(1)).alias("n"))
-    return g.agg(F.sum("n").alias("n_total"), F.count(F.lit(1)).alias("n_unique"),
-                 F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n_in_duplicate_groups"),
-                 F.count_if(F.col("n") > 1).alias("n_duplicated_texts")).select(
-        "n_total", "n_unique", (F.col("n_total") - F.col("n_unique")).alias("n_excess"),
-        "n_in_duplicate_groups", "n_duplicated_texts")
+    singles, groups = _text_groups(df, text_col)
+    u = singles.select(F.lit(1).cast("long").alias("n")).unionByName(groups.select("n"))
+    g = u.agg(F.sum("n").alias("n_total"), F.count(F.lit(1)).alias("n_unique"),
+              F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("n_in_duplicate_groups"),
+              F.count_if(F.col("n") > 1).alias("n_duplicated_texts"))
+    return g.select("n_total", "n_unique", (F.col("n_total") - F.col("n_unique")).alias("n_excess"),
+                    "n_in_duplicate_groups", "n_duplicated_texts")
 
 
 def word_counts(df: DataFrame, text_col: str) -> DataFrame:
