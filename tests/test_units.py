@@ -208,3 +208,25 @@ def test_lr_penalised_intercept_matches_newton(spark):
         beta -= np.linalg.solve(H, g)
     assert np.allclose(m.coefficients.toArray(), beta[:3], atol=1e-3)
     assert m.intercept == pytest.approx(beta[3], abs=1e-3)
+
+
+def test_tfidf_vocabulary_and_weights_small_corpus(spark):
+    import collections
+    docs = ["Café bill bill late", "bill late again", "café meter broken", "late bill", "meter bill café"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    spec = FE.TfidfSpec(max_features=4, ngram_max=2, min_df=2, max_df=0.95)
+    vocab = FE.tfidf_vocabulary(df, "text", spec, "doc_id")
+    got = {r["term"]: (r["df"], r["tf"], r["idf"]) for r in vocab.collect()}
+    toks = [t.lower().replace("é", "e").split() for t in docs]
+    grams = [t + [f"{a} {b}" for a, b in zip(t, t[1:])] for t in toks]
+    dfc = collections.Counter(g for doc in grams for g in set(doc))
+    tfc = collections.Counter(g for doc in grams for g in doc)
+    kept = [g for g in dfc if 2 <= dfc[g] <= 0.95 * len(docs)]
+    top = sorted(kept, key=lambda g: (-tfc[g], g))[:4]
+    assert sorted(got) == sorted(top)
+    for g in top:
+        assert got[g][:2] == (dfc[g], tfc[g])
+        assert got[g][2] == pytest.approx(math.log((1 + len(docs)) / (1 + dfc[g])) + 1)
+    w = FE.tfidf_long(df, "doc_id", "text", vocab, spec)
+    norms = w.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).collect()
+    assert all(r["s"] == pytest.approx(1.0) for r in norms)
