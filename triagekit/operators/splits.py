@@ -7,6 +7,8 @@ holding a third of all entities is still spread over many tasks.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -169,8 +171,12 @@ def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec:
         return queries.sparkSession.createDataFrame([], T.StructType([
             T.StructField(qid, qtype), T.StructField(pid, ptype), T.StructField("sq_dist", T.DoubleType()),
             T.StructField("rank", T.IntegerType())]))
-    pc = _PCA(k=1, inputCol="_x", outputCol="_y").fit(p.select(array_to_vector("_pv").alias("_x")))
-    u = [float(x) for x in pc.pc.toArray()[:, 0]]  # unit vector, one value per dimension
+    d = len(p.select("_pv").first()[0])
+    try:
+        pc = _PCA(k=1, inputCol="_x", outputCol="_y").fit(p.select(array_to_vector("_pv").alias("_x")))
+        u = [float(x) for x in pc.pc.toArray()[:, 0]]  # unit vector, one value per dimension
+    except Exception:  # noqa: BLE001 - any unit direction keeps the search exact; only pruning differs
+        u = [1.0 / math.sqrt(d)] * d
     ua = F.array(*[F.lit(x) for x in u])
     proj = lambda c: F.aggregate(F.zip_with(c, ua, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
     q = q.withColumn("_qproj", proj(F.col("_qv")))
