@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, NGram, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +43,12 @@ def with_terms(df: DataFrame, text_col: str, spec: TfidfSpec, out: str = "_terms
     if spec.strip_accents:
         x = TX.strip_accents(x)
     d = df.withColumn("_norm", x).withColumn("_tok", F.regexp_extract_all(F.col("_norm"), F.lit(TERM_PATTERN), 0))
-    t = TX.with_bigrams(F.col("_tok")) if spec.ngram_max >= 2 else F.col("_tok")
-    return d.withColumn(out, t).drop("_norm", "_tok")
+    if spec.ngram_max < 2:
+        return d.withColumn(out, F.col("_tok")).drop("_norm", "_tok")
+    # adjacent pairs joined by a space, built by the JVM NGram transformer (no per-element lambdas)
+    d = NGram(n=2, inputCol="_tok", outputCol="_bi").transform(d.withColumn("_tok", F.coalesce("_tok", F.array().cast("array<string>"))))
+    t = F.when(F.col("_norm").isNull(), F.lit(None).cast("array<string>")).otherwise(F.concat("_tok", "_bi"))
+    return d.withColumn(out, t).drop("_norm", "_tok", "_bi")
 
 
 def tfidf_vocabulary(df: DataFrame, text_col: str, spec: TfidfSpec = TfidfSpec(), id_col: str | None = None) -> DataFrame:
@@ -56,13 +60,12 @@ def tfidf_vocabulary(df: DataFrame, text_col: str, spec: TfidfSpec = TfidfSpec()
     """
     docs = with_terms(df.select(text_col), text_col, spec, "t").select("t")
     n_docs = df.count()
-    # one explode of every token (tf) and of each document's distinct terms (df), one grouped
-    # aggregation: map-side combining shuffles per-partition distinct terms, not every token
-    tagged = F.concat(
-        F.transform("t", lambda w: F.struct(w.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(F.array_distinct("t"), lambda w: F.struct(w.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))))
-    ex = docs.select(F.explode(tagged).alias("e")).select("e.term", "e.tf", "e.df")
-    stats = ex.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+    # one explode of every token (tf) followed by the document's distinct terms (df); the position
+    # tells which part an element came from. One grouped aggregation: map-side combining shuffles
+    # per-partition distinct terms, not every token
+    ex = docs.select(F.size("t").alias("_n"), F.posexplode(F.concat("t", F.array_distinct("t"))).alias("_i", "term"))
+    is_tf = (F.col("_i") < F.col("_n")).cast("long")
+    stats = ex.groupBy("term").agg(F.sum(1 - is_tf).alias("df"), F.sum(is_tf).alias("tf"))
     max_doc = spec.max_df * n_docs if isinstance(spec.max_df, float) else spec.max_df
     kept = stats.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(max_doc)))
     if spec.max_features:

@@ -20,6 +20,7 @@ from ..operators import evaluation as E
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import splits as SP
+from ..session import persist_shared
 from .parallel import parallel_map
 
 
@@ -33,6 +34,8 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
               label: str = "escalated", row_id: str = "case_id", n_folds: int = C.N_FOLDS,
               keep_train: bool = True, hooks: dict | None = None) -> DataFrame:
     """Long scored table for every (model, fold, split); (fold, model) fits run concurrently."""
+    df = persist_shared(df)  # every fold reads it twice (train and validation)
+
     def prepare_fold(k):
         train = df.filter(F.col(fold) != k)
         val = df.filter(F.col(fold) == k)
