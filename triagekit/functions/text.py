@@ -47,13 +47,6 @@ def tokens(c) -> Column:
     return F.regexp_extract_all(c, F.lit(TOKEN_PATTERN), 0)
 
 
-def with_bigrams(tok: Column) -> Column:
-    """Unigrams followed by space-joined adjacent pairs (one pass: zip of two shifted slices)."""
-    m = F.greatest(F.size(tok) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(tok, 1, m), F.slice(tok, 2, m), lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(tok, pairs)
-
-
 def strip_accents(c) -> Column:
     """Unicode accent folding: NFKD decomposition, then drop combining marks.
 
