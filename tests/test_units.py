@@ -230,3 +230,13 @@ def test_tfidf_vocabulary_and_weights_small_corpus(spark):
     w = FE.tfidf_long(df, "doc_id", "text", vocab, spec)
     norms = w.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).collect()
     assert all(r["s"] == pytest.approx(1.0) for r in norms)
+
+
+def test_pre_normalized_text_gives_same_vocabulary(spark):
+    docs = ["Élan déjà vu", "ÉLAN naïve café", "café déjà élan", "naïve café vu"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")
+    spec = FE.TfidfSpec(max_features=10, min_df=1, max_df=1.0)
+    a = {r["term"]: (r["df"], r["tf"]) for r in FE.tfidf_vocabulary(df, "text", spec, "doc_id").collect()}
+    n = FE.normalized_text(df, "text", "_n", spec)
+    b = {r["term"]: (r["df"], r["tf"]) for r in FE.tfidf_vocabulary(n, "_n", FE.pre_normalized(spec), "doc_id").collect()}
+    assert a == b and "elan" in a

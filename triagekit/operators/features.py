@@ -31,6 +31,7 @@ class TfidfSpec:
     max_df: float = C.TFIDF_MAX_DF
     sublinear_tf: bool = True
     strip_accents: bool = True
+    lowercase: bool = True
 
 
 def with_terms(df: DataFrame, text_col: str, spec: TfidfSpec, out: str = "_terms") -> DataFrame:
@@ -39,7 +40,7 @@ def with_terms(df: DataFrame, text_col: str, spec: TfidfSpec, out: str = "_terms
     The folded text and the unigram array are projected as columns first, so
     the (vectorised) accent-folding UDF never sits inside a lambda.
     """
-    x = F.lower(F.col(text_col))
+    x = F.lower(F.col(text_col)) if spec.lowercase else F.col(text_col)
     if spec.strip_accents:
         x = TX.strip_accents(x)
     d = df.withColumn("_norm", x).withColumn("_tok", F.regexp_extract_all(F.col("_norm"), F.lit(TERM_PATTERN), 0))
@@ -232,3 +233,16 @@ class Preprocessor:
         if self.scaler is not None:
             names += [f"num__{n}" for n in self.scaler.feature_names()]
         return names
+
+
+def normalized_text(df: DataFrame, text_col: str, out: str, spec: TfidfSpec = TfidfSpec()) -> DataFrame:
+    """The analyzer's normalisation (lower-case, accent folding) as a column, computed once.
+
+    Analyse it afterwards with ``pre_normalized(spec)``: identical terms, no repeated folding.
+    """
+    x = F.lower(F.col(text_col)) if spec.lowercase else F.col(text_col)
+    return df.withColumn(out, TX.strip_accents(x) if spec.strip_accents else x)
+
+
+def pre_normalized(spec: TfidfSpec) -> TfidfSpec:
+    return TfidfSpec(spec.max_features, spec.ngram_max, spec.min_df, spec.max_df, spec.sublinear_tf, False, False)

@@ -235,15 +235,17 @@ def q_silhouette(spark, sf_dir):
 
 @register("feature_ablation", ops="L6,I2,I5")
 def q_feature_ablation(spark, sf_dir):
-    t = _text_cases(spark, sf_dir)
+    # the analyzer's lower-case + accent folding is computed once and shared by every configuration
+    t = FE.normalized_text(_text_cases(spark, sf_dir), C.TEXT_COL_CLEAN, "_text_norm")
+    norm = lambda **kw: FE.pre_normalized(FE.TfidfSpec(**kw))
     configs = {
-        "full": _text_prep(),
+        "full": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm()),
         "structured_only": FE.Preprocessor(None, ["lang"], ["n_chars"]),
-        "no_numeric": FE.Preprocessor(C.TEXT_COL_CLEAN, ["lang"], []),
-        "text_only": FE.Preprocessor(C.TEXT_COL_CLEAN, [], []),
-        "unigrams": _text_prep(ngram_max=1),
-        "tfidf_200": _text_prep(max_features=200),
-        "tfidf_1000": _text_prep(max_features=1000),
+        "no_numeric": FE.Preprocessor("_text_norm", ["lang"], [], norm()),
+        "text_only": FE.Preprocessor("_text_norm", [], [], norm()),
+        "unigrams": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(ngram_max=1)),
+        "tfidf_200": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(max_features=200)),
+        "tfidf_1000": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(max_features=1000)),
     }
     from . import cv as CV
     from .parallel import parallel_map
