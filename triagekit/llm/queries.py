@@ -95,8 +95,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.KINDS)]
+
+    def count(kind: int) -> F.Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{pii.KINDS[kind]}")
+
+    counts = [count(k) for k in range(len(pii.KINDS))]
     return found.select("doc_id", *counts, F.sha2(pii.span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
 
