@@ -3,9 +3,10 @@
 A text longer than ``chunk`` characters is cut into chunks that overlap their
 right neighbour. Chunks are dealt over the cluster and pre-tokenised on their
 own; two neighbours are stitched at the first pre-token boundary both found in
-the overlap. A match of the pattern depends only on what follows its start, so
-from a common boundary on both sequences agree and the pieces between the
-stitches encode to exactly the ids of the whole text. A text in which some
+the overlap that does not follow white space. A match of the pattern depends
+only on what follows its start, so from a common boundary on both sequences
+agree and the pieces between the stitches encode to exactly the ids of the whole
+text. A text in which some
 overlap shows no common boundary (one endless run of letters) is encoded as one
 piece. Decoding concatenates the raw bytes of the ids.
 
@@ -47,9 +48,14 @@ def boundaries(compiled, text: str, start: int, last: bool) -> list[int]:
 
 
 def stitch(compiled, text: str, chunk: int, overlap: int) -> int | None:
-    """Where this chunk's pre-tokens and those begun at ``chunk`` first agree; None: nowhere in the overlap."""
+    """Where this chunk's pre-tokens and those begun at ``chunk`` first agree; None: nowhere in the overlap.
+
+    Not after white space: a run of it ends differently before a letter than at
+    the end of a piece.
+    """
     last = len(text) < chunk + overlap   # the window reaches the end of the text
-    mine = set(b for b in boundaries(compiled, text, 0, last) if b >= chunk)
+    mine = set(b for b in boundaries(compiled, text, 0, last)
+               if b >= chunk and (not text[b - 1].isspace() or last and b == len(text)))
     return next((b for b in boundaries(compiled, text, chunk, last) if b in mine), None)
 
 
