@@ -169,11 +169,44 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(rounds):
         # done when every node has one link and no target has a link of its own
-        n, nodes = e.agg(F.count("*"), F.count_distinct("a")).first()
-        if n == nodes and e.select(F.col("a").alias("t")).join(e, F.col("t") == F.col("b"), "left_semi").isEmpty():
+        ends = e.select(F.col("a").alias("u"), F.lit(1).alias("out"), F.lit(0).alias("to")).unionByName(
+            e.select(F.col("b").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("to")))
+        left = (ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("to").alias("to"))
+                .where("out > 1 or (out > 0 and to > 0)"))
+        if left.isEmpty():
             break
         e = shared(stars(stars(e, True), False))
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+#: Bits of the pre-filter below, whatever the number of keys.
+FILTER_BITS = 1 << 23
+
+
+def may_hold(keys: DataFrame, key: str) -> Callable[[F.Column], F.Column]:
+    """A test that is true for every key of ``keys`` and for few others: one Bloom filter of fixed size.
+
+    It thins out rows before a join on the key that decides; with many more keys
+    than bits it lets everything through, and the join still decides. ``keys``
+    should be a written table.
+    """
+    def places(c: F.Column) -> list[F.Column]:
+        return [F.pmod(F.xxhash64(c, F.lit(i)), F.lit(FILTER_BITS)) for i in (101, 102)]
+
+    at = keys.select(F.explode(F.array(*places(F.col(key)))).alias("at"))
+    found = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b"))
+    every = keys.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "w").join(found, "w", "left")
+    # one row with one array of fixed size, a scalar subquery of whatever it filters
+    row = every.agg(F.sort_array(F.collect_list(F.struct("w", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("x"))
+    bits = row.select(F.transform("x", lambda x: x["b"]).alias("bits")).scalar()
+
+    def test(c: F.Column) -> F.Column:
+        out = F.lit(True)
+        for at in places(c):
+            out = out & (F.getbit(F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        return out
+
+    return test

@@ -1,23 +1,24 @@
 """N-gram Jaccard join with prefix filters under several global token orders.
 
 A document's tokens are its distinct ``n``-word shingles (64-bit hashes). Under
-any global order of the tokens, two sets of Jaccard similarity >= t share a token
-of their prefixes, the first ``size - ceil(t size) + 1`` tokens. So candidates
-must share one under each order, and pairs are verified only after the filters:
+any global order of the tokens, two sets of similarity >= t share k tokens of
+their prefixes, the first ``size - ceil(t size) + k`` tokens. So candidates must
+share that many under each order, and pairs are verified only after the filters:
 
 1. Equal sets are one node, so copies are never paired.
 2. Tokens that occur often go last in every order. They are found by bounded
    summaries that each task makes of all its documents; the list (at most
    ``COMMON_TOKENS``) shapes the orders, never the results.
-3. First order: (node, prefix token) rows meet by token. Only tokens that two
-   nodes share go on.
+3. First order: the prefix tokens meet by token. A node goes on only if enough
+   of its prefix tokens are in other nodes' prefixes too. Common tokens need no
+   counting, so no frequent key is shuffled for it.
 4. Star rounds: in each token's group all nodes are paired with one hub, then
-   with others; verified links make components. Pairs inside a component need no
-   proof any more, so a group of near copies costs one pair a member.
-5. Every remaining pair of nodes of different components that share a prefix
-   token becomes a candidate.
-6. Candidates of 4 and 5 pass the size filter, then the prefixes of the other
-   orders (native array overlap), then exact intersection.
+   with another; verified links make components. Pairs inside a component need
+   no proof any more, so a group of near copies costs one pair a member.
+5. Every remaining pair of nodes of different components that share enough
+   prefix tokens becomes a candidate.
+6. Candidates of 4 and 5 pass the size filter, then the prefixes of the second
+   order (native array intersection), then exact intersection.
 
 No pair that meets the threshold across components is ever dropped.
 
@@ -33,14 +34,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _arrow_schema, as_long, bound_batches, components, map_rows, mix64, shared, window_hashes, word_hashes
+from .common import (_arrow_schema, as_long, bound_batches, components, map_rows, may_hold, mix64, shared, window_hashes,
+                     word_hashes)
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4      # threshold 0.75, in whole numbers
-ORDERS = (0x1234567, 0x89ABCDE, 0x13579BD)   # seeds of the token orders; the first one is the index
+ORDERS = (0x1234567, 0x89ABCDE)    # seeds of the token orders; the first one is the index
+SHARE = 12                         # one in so many of a set's tokens must be met within the prefixes
 COMMON_TOKENS = 200_000
 SUMMARY_ROWS = 20_000              # tokens in one task's summary
 SUMMARY_LEAST = 4                  # occurrences within a task that make a token worth reporting
@@ -55,11 +58,28 @@ def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
     words = word_hashes(text.encode(), lower=True)[0]
     if not len(words):
         return words
-    return np.unique(window_hashes(words, n) if len(words) >= n else mix64(window_hashes(words, len(words)) + np.uint64(len(words))))
+    if len(words) < n:
+        return mix64(window_hashes(words, len(words)) + np.uint64(len(words)))
+    tokens = np.sort(window_hashes(words, n))
+    return tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])]
+
+
+def needed(size: int) -> int:
+    """k: how many tokens the prefixes of two similar sets share, if neither is smaller."""
+    return max(1, size // SHARE)
 
 
 def prefix_size(size: int) -> int:
-    return size - -(-NUMERATOR * size // DENOMINATOR) + 1 if size else 0
+    return min(size, size - -(-NUMERATOR * size // DENOMINATOR) + needed(size)) if size else 0
+
+
+def _needed(size: Column) -> Column:
+    return F.greatest(F.lit(1), F.floor(size / SHARE))
+
+
+def _least_needed(size: Column) -> Column:
+    """The same for a set and the smallest partner that it can have."""
+    return _needed(F.ceil(size * NUMERATOR / DENOMINATOR))
 
 
 def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -85,7 +105,9 @@ def _summaries(docs: DataFrame, n: int) -> DataFrame:
     target = _arrow_schema(docs.sparkSession, schema)
 
     def condense(held: list[np.ndarray], counts: tuple[np.ndarray, np.ndarray] | None):
-        token, many = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, int))
+        flat = np.sort(np.concatenate([*held, np.empty(0, np.uint64)]))
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.empty(0, int)
+        token, many = flat[first], np.diff(np.append(first, len(flat)))
         if counts is not None:
             token, inverse = np.unique(np.concatenate([token, counts[0]]), return_inverse=True)
             many = np.bincount(inverse, np.concatenate([many, counts[1]]), len(token)).astype(int)
@@ -128,18 +150,19 @@ def _possible(a: Column, b: Column) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` that pass the other orders' prefixes and the exact threshold."""
-    def with_side(df: DataFrame, cols: list[str], side: str) -> DataFrame:
-        return df.join(sets.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in cols]), side)
+    """Pairs ``a, b`` that pass the second order's prefixes and the exact threshold."""
+    def with_side(df: DataFrame, col: str, side: str) -> DataFrame:
+        return df.join(sets.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"),
+                                   F.col(col).alias(f"set_{side}")), side)
+
+    def common(df: DataFrame, col: str) -> DataFrame:
+        return (with_side(with_side(df, col, "a"), col, "b")
+                .withColumn("c", F.size(F.array_intersect("set_a", "set_b"))))
 
-    orders = [f"p{i}" for i in range(1, len(ORDERS))]
-    left = with_side(with_side(pairs, orders, "a"), orders, "b")
-    for c in orders:
-        left = left.where(F.arrays_overlap(f"{c}_a", f"{c}_b"))
-    both = with_side(with_side(left.select("a", "b"), ["tokens"], "a"), ["tokens"], "b")
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    return (both.select("a", "b", common.alias("c"), (F.size("tokens_a") + F.size("tokens_b")).alias("s"))
-            .where(F.col("c") * DENOMINATOR >= (F.col("s") - F.col("c")) * NUMERATOR).select("a", "b"))
+    near = common(pairs, "second").where(F.col("c") >= F.least(_needed(F.col("size_a")), _needed(F.col("size_b"))))
+    s = F.col("size_a") + F.col("size_b")
+    return (common(near.select("a", "b"), "tokens")
+            .where(F.col("c") * DENOMINATOR >= (s - F.col("c")) * NUMERATOR).select("a", "b"))
 
 
 def _labels(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -156,10 +179,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = shared(_summaries(src, n))
     own = both.where("token is null").select("doc", "size", "node")
     top = (both.where("token is not null").groupBy("token").agg(F.sum("many").alias("many"))
-           .orderBy(F.desc("many"), "token").limit(COMMON_TOKENS).collect())
-    token = np.array([r.token for r in top], np.int64).view(np.uint64)
+           .orderBy(F.desc("many"), "token").limit(COMMON_TOKENS).toArrow())
+    token = top["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    many = np.array([r.many for r in top], np.int64)[order]
+    many = top["many"].to_numpy()[order]
     # the place by frequency: equal counts share it
     sent = spark.sparkContext.broadcast((token[order], np.searchsorted(np.unique(many), many)))
     sizes = own.where("node is not null and doc is not null").groupBy("node").agg(
@@ -169,37 +192,47 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         common, rank = sent.value
         sets = [s for s in (shingles(t, n) for t in text.to_pylist()) if len(s)]
         pre = [prefix(s, ORDERS[0], common, rank) for s in sets]
-        node = [_node(s) for s in sets]
-        return {"token": as_long(np.concatenate([*pre, np.empty(0, np.uint64)])),
-                "node": np.repeat(np.array(node, np.int64), [len(p) for p in pre])}
-
-    index = map_rows(src.where("doc is not null and text is not null").select("text"), first_prefix, "token long, node long")
-    met = (index.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("token"))
-    rows = shared(index.join(met, "token", "left_semi").distinct().join(sizes.select("node", "size"), "node"))
-
-    # full sets and the other orders' prefixes of the nodes that met another one
-    active = rows.select("node").distinct().join(sizes, "node").select("node", F.col("rep").alias("doc"))
-
-    def full(node, text):
+        flat = np.concatenate([*pre, np.empty(0, np.uint64)])
+        known = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), bool)
+        return {"token": as_long(flat), "node": np.repeat(np.array([_node(s) for s in sets], np.int64), [len(p) for p in pre]),
+                "common": known}
+
+    index = map_rows(src.where("doc is not null and text is not null").select("text"), first_prefix,
+                     "token long, node long, common boolean")
+    # which tokens two nodes share; a window, so that the rows are shuffled once. Common tokens count as shared, and
+    # their rows are spread by node
+    spread = index.withColumn("salt", F.when(F.col("common"), F.col("node")).otherwise(F.lit(0).cast("long")))
+    of_token = Window.partitionBy("token", "salt")
+    met = shared(spread.select("token", "node", "common", F.min("node").over(of_token).alias("lo"),
+                               F.max("node").over(of_token).alias("hi"))
+                 .where("common or lo <> hi").select("token", "node").distinct())
+    active = shared(met.groupBy("node").agg(F.count("*").alias("met")).join(sizes, "node")
+                    .where(F.col("met") >= _least_needed(F.col("size"))).select("node", "rep", "size"))
+    rows = shared(met.join(active, "node"))
+
+    # full sets and the second order's prefixes of the nodes that go on
+    may = may_hold(active, "rep")
+
+    def full(node, size, text):
         common, rank = sent.value
-        out = {"node": [], "tokens": []} | {f"p{i}": [] for i in range(1, len(ORDERS))}
-        for k, t in zip(node.to_pylist(), text.to_pylist()):
+        out = {"node": [], "size": [], "tokens": [], "second": []}
+        for k, m, t in zip(node.to_pylist(), size.to_pylist(), text.to_pylist()):
             s = shingles(t, n)
-            if _node(s) == k:   # a row that repeats the id may have another text
-                out["node"].append(k)
-                out["tokens"].append(as_long(s))
-                for i in range(1, len(ORDERS)):
-                    out[f"p{i}"].append(as_long(prefix(s, ORDERS[i], common, rank)))
+            if len(s) == m and _node(s) == k:   # a row that repeats the id may have another text
+                for c, v in zip(out, (k, m, as_long(s), as_long(prefix(s, ORDERS[1], common, rank)))):
+                    out[c].append(v)
         return out
 
-    sets = map_rows(src.where("text is not null").join(active, "doc").select("node", "text"), full,
-                    "node long, tokens array<long>" + "".join(f", p{i} array<long>" for i in range(1, len(ORDERS))))
-    sets = shared(sets.dropDuplicates(["node"]))
+    sets = map_rows(src.where(F.col("text").isNotNull() & may(F.col("doc")))
+                    .join(active.withColumnRenamed("rep", "doc"), "doc").select("node", "size", "text"), full,
+                    "node long, size long, tokens array<long>, second array<long>")
+    sets = shared(sets)
 
     links = spark.createDataFrame([], "a long, b long")
     for k in range(STAR_ROUNDS):
         part = _labels(rows, links) if k else rows.withColumn("part", F.col("node"))
-        lead = F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "size", "part"))
+        # first the smallest document, most likely what the others were copied from; then any other one
+        lead = F.min(F.struct((F.xxhash64("node") if k else F.col("rep")).alias("h"), "node", "size", "part"))
         hub = part.groupBy("token").agg(lead.alias("hub")).select(
             "token", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"), F.col("hub.part").alias("part_a"))
         pairs = (part.join(hub, "token").where((F.col("part") != F.col("part_a")) & _possible(F.col("size"), F.col("size_a")))
@@ -211,8 +244,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other = part.select("token", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
     pairs = (part.withColumnRenamed("node", "a").join(other, "token")
              .where((F.col("a") < F.col("b")) & (F.col("part") != F.col("part_b")) & _possible(F.col("size"), F.col("size_b")))
-             .select("a", "b").distinct())
-    links = links.unionByName(_verified(pairs, sets))
+             .groupBy("a", "b").agg(F.count("*").alias("c"), F.min("size").alias("size_a"), F.min("size_b").alias("size_b"))
+             .where(F.col("c") >= F.least(_needed(F.col("size_a")), _needed(F.col("size_b")))).select("a", "b"))
+    links = shared(links.unionByName(_verified(pairs, sets)))
 
     # nodes' smallest documents carry the links; rows of one id, or of one set, meet in them
     rep = sizes.select("node", "rep")
@@ -228,5 +262,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _node(tokens: np.ndarray) -> int:
     """64-bit name of a set."""
-    return int(as_long(mix64(np.array([tokens.sum(dtype=np.uint64) ^ np.uint64(len(tokens))], np.uint64)
-                             + mix64(tokens).sum(dtype=np.uint64)))[0])
+    total = np.array([np.add.reduce(tokens), np.bitwise_xor.reduce(tokens), len(tokens)], np.uint64)
+    total = mix64(total + np.array([1, 2, 3], np.uint64))
+    return int(as_long(mix64(total[:1] + mix64(total[1:2] + mix64(total[2:]))))[0])

@@ -7,6 +7,7 @@ starts in a document with a smaller id.
    equal windows have equal anchors. A document is cut into runs of consecutive
    windows with one anchor. Only runs whose anchor occurs in two documents can
    hold a repeated window; counting anchors takes one small row a run.
+   Anchors that one batch of documents shares are settled there.
 2. Runs with equal words are one passage, owned by the smallest document. An
    anchor with very many different passages (a common line in changing
    surroundings) is first cut down to the windows that two of them share.
@@ -31,10 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _arrow_schema, as_long, map_rows, mix64, powers, shared, window_hashes, word_bounds, word_hashes
+from .common import (_arrow_schema, as_long, map_rows, may_hold, mix64, powers, shared, window_hashes, word_bounds,
+                     word_hashes)
 
 WINDOW = 50
 GRAM = 20
@@ -154,16 +156,37 @@ def shard_owners(passages: list[tuple[int, np.ndarray]], window: int) -> list[li
 
 
 def _run_rows(src: DataFrame, window: int, gram: int) -> DataFrame:
+    """``doc, text_hash, anchor, content, first, n`` of every run, and what counting its anchor needs.
+
+    An anchor that two documents of one batch have is known to be shared
+    (``state`` 1), so its runs need not meet the others; they are spread by
+    document. Two of them go along as witnesses (``state`` 2) for runs of the
+    same anchor elsewhere. A frequent anchor thus brings two rows a batch to
+    its group, not one a document. ``state`` 0 is left to be counted.
+    """
     def run(doc, text_hash, text):
         out = []
         for t in text.to_pylist():
             a, c, f, n = runs(word_hashes(t.encode())[0], window, gram)
             out.append((as_long(a), as_long(c), f, n))
         sizes = [len(o[0]) for o in out]
-        cat = [np.concatenate([o[k] for o in out]) if out else np.empty(0, np.int64) for k in range(4)]
-        return {"doc": np.repeat(doc.to_numpy(), sizes), "text_hash": np.repeat(text_hash.to_numpy(), sizes),
-                "anchor": cat[0], "content": cat[1], "first": cat[2].astype(np.int32), "n": cat[3].astype(np.int32)}
-    return map_rows(src, run, "doc long, text_hash long, anchor long, content long, first int, n int")
+        anchor, content, first, n = (np.concatenate([*(o[k] for o in out), np.empty(0, np.int64)]) for k in range(4))
+        docs_ = np.repeat(doc.to_numpy(), sizes)
+        order = np.lexsort((docs_, anchor))
+        a, d = anchor[order], docs_[order]
+        new = np.concatenate([[True], a[1:] != a[:-1]])[:len(a)]      # first row of an anchor
+        other = np.concatenate([[False], (a[1:] == a[:-1]) & (d[1:] != d[:-1])])[:len(a)]   # first row of a further document
+        group = np.cumsum(new) - 1
+        several = np.bincount(group, other, int(new.sum())) > 0
+        state = np.zeros(len(anchor), np.int32)
+        state[order] = several[group]
+        second = other & (np.cumsum(other) - np.cumsum(other)[np.flatnonzero(new)][group] == 1)
+        extra = order[(new | second) & several[group]]
+        rows = np.concatenate([np.arange(len(anchor)), extra])
+        return {"doc": docs_[rows], "text_hash": np.repeat(text_hash.to_numpy(), sizes)[rows], "anchor": anchor[rows],
+                "content": content[rows], "first": first[rows].astype(np.int32), "n": n[rows].astype(np.int32),
+                "state": np.concatenate([state, np.full(len(extra), 2, np.int32)])}
+    return map_rows(src, run, "doc long, text_hash long, anchor long, content long, first int, n int, state int")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -172,10 +195,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     docs: ``doc, text_hash`` (long) and ``text``, no nulls; rows with one ``doc`` are told apart by ``text_hash``.
     """
     src = docs.select("doc", "text_hash", "text")
-    every = _run_rows(src, window, gram)
-    wanted = (every.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-              .where("lo <> hi").select("anchor"))
-    found = shared(every.join(wanted, "anchor", "left_semi"))
+    same = Window.partitionBy("anchor", F.when(F.col("state") == 1, F.col("doc")).otherwise(F.lit(0).cast("long")))
+    found = shared(_run_rows(src, window, gram)
+                   .withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same))
+                   .where("state = 1 or (state = 0 and lo <> hi)").drop("state", "lo", "hi"))
     passages = (found.groupBy("anchor", "content", "n")
                 .agg(F.min(F.struct("doc", "first")).alias("at"))
                 .select("anchor", "content", "n", F.col("at.doc").alias("doc"), F.col("at.first").alias("first")))
@@ -198,8 +221,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
                         out[k].append(v)
         return out
 
-    held = map_rows(src.join(asked, "doc").select("doc", "text", "asked"), words, "anchor long, content long, n int, doc long, words binary")
-    held = shared(held.dropDuplicates(["anchor", "content", "n"]))
+    asked = shared(asked)
+    may = may_hold(asked, "doc")
+    held = shared(map_rows(src.where(may(F.col("doc"))).join(asked, "doc").select("doc", "text", "asked"), words,
+                           "anchor long, content long, n int, doc long, words binary"))
     hot = shared(held.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > HOT_PASSAGES).select("anchor"))
     parts = held.select("anchor", F.col("content").alias("part"), F.col("n").alias("count"), "doc", "words")
     if hot.isEmpty():
@@ -288,9 +313,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept`` is the words that stay, joined by one space.
     """
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *keep)
-    spans = repeated_spans(src.where("doc_id is not null and text is not null")
+    spans = shared(repeated_spans(src.where("doc_id is not null and text is not null")
                            .select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("text_hash"), "text"),
-                           window, gram).select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "spans")
+                           window, gram).select(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"), "spans"))
     types = dict(src.dtypes)
 
     def run(doc, text, spans, *rest):
@@ -306,7 +331,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             kept.append(" ".join(raw[a:b].decode() for a, b in zip(start[stay].tolist(), end[stay].tolist())))
         return {"doc_id": doc, "n_words": n, "n_removed": gone, "kept": kept} | dict(zip(keep, rest))
 
-    joined = src.join(spans, (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")), "left")
-    return map_rows(joined.select("doc_id", "text", "spans", *keep), run,
+    # only documents that may lose a word meet the spans
+    may = may_hold(spans, "_doc")(F.col("doc_id").cast("long"))
+    joined = (src.where(may).join(spans, (F.col("doc_id").cast("long") == F.col("_doc"))
+                                  & (F.xxhash64("text") == F.col("_hash")), "left").select("doc_id", "text", "spans", *keep)
+              .unionByName(src.where(~may).withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+                           .select("doc_id", "text", "spans", *keep)))
+    return map_rows(joined, run,
                     f"doc_id {types['doc_id']}, n_words long, n_removed long, kept string"
                     + "".join(f", {c} {types[c]}" for c in keep))
