@@ -195,10 +195,11 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     docs: ``doc, text_hash`` (long) and ``text``, no nulls; rows with one ``doc`` are told apart by ``text_hash``.
     """
     src = docs.select("doc", "text_hash", "text")
-    same = Window.partitionBy("anchor", F.when(F.col("state") == 1, F.col("doc")).otherwise(F.lit(0).cast("long")))
-    found = shared(_run_rows(src, window, gram)
-                   .withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same))
-                   .where("state = 1 or (state = 0 and lo <> hi)").drop("state", "lo", "hi"))
+    spread = _run_rows(src, window, gram).withColumn(
+        "salt", F.when(F.col("state") == 1, F.col("doc")).otherwise(F.lit(0).cast("long")))
+    same = Window.partitionBy("anchor", "salt")
+    found = shared(spread.select("*", F.min("doc").over(same).alias("lo"), F.max("doc").over(same).alias("hi"))
+                   .where("state = 1 or (state = 0 and lo <> hi)").drop("state", "salt", "lo", "hi"))
     passages = (found.groupBy("anchor", "content", "n")
                 .agg(F.min(F.struct("doc", "first")).alias("at"))
                 .select("anchor", "content", "n", F.col("at.doc").alias("doc"), F.col("at.first").alias("first")))
