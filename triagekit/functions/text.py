@@ -54,7 +54,8 @@ def strip_accents(c) -> Column:
     pandas UDF (Arrow batches); the mark removal stays a JVM regex.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(_nfd_udf(c), r"\p{M}", "")
+    plain = F.when(c.rlike(r"[^\x00-\x7f]"), c)   # ASCII text needs no decomposition and stays in the JVM
+    return F.regexp_replace(F.coalesce(_nfd_udf(plain), c), r"\p{M}", "")
 
 
 @F.pandas_udf(T.StringType())

@@ -3,35 +3,53 @@
 All of them reduce rows to a histogram ``(keys, score) -> (n, pos)`` first
 (map-side partial aggregation), then need prefix sums in descending score
 order. A global ordered window would run on one task, so the prefix sum is
-two-level: scores are cut into a bounded number of buckets, bucket totals get
-their offsets from a window over at most ``BUCKETS`` rows per key, and the
-exact running sum inside a bucket is a window partitioned by (keys, bucket).
+two-level: values are cut into ``BUCKETS`` buckets at their quantiles, bucket
+totals get their offsets from a window over at most ``BUCKETS`` rows per key,
+and the exact running sum inside a bucket is a window partitioned by (keys,
+bucket).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import metrics as M
 
-# Bucket count for probability-like scores in [0, 1]: bounds the offset table
-# to BUCKETS rows per key independent of data size.
-BUCKETS = 1 << 14
+# Buckets of a prefix sum: cut at quantiles of the histogram itself, so that an
+# outlier or values crowded in one place still leave every bucket about equal.
+BUCKETS = 256
 
 
-def unit_bucket(score: str, buckets: int = BUCKETS) -> Column:
-    """Bucket of a [0, 1] score; out-of-range values clamp to the end buckets."""
-    return F.least(F.greatest(F.floor(F.col(score) * buckets), F.lit(0)), F.lit(buckets)).cast("int")
+def cut_points(df: DataFrame, col: str, buckets: int = BUCKETS) -> list:
+    """At most ``buckets - 1`` ascending cut values of a column; any orderable type.
 
+    Approximate quantiles for numbers and times; for other types the sorted
+    values of a bounded hash sample. Cut values only shape the buckets.
+    """
+    kind = df.schema[col].dataType
+    if isinstance(kind, (T.NumericType, T.DatetimeType)):
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = df.agg(F.percentile_approx(col, probs, 10 * buckets).alias("c")).first()["c"] or []
+    else:
+        order = F.xxhash64(col)
+        cuts = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).orderBy(order).limit(buckets - 1).collect()]
+    return sorted(set(cuts))
+
+
+def cut_bucket(df: DataFrame, col: str, buckets: int = BUCKETS) -> Column:
+    """Bucket index by binary search over the cut points of ``df``; ascending with the column."""
+    kind, cuts = df.schema[col].dataType, cut_points(df, col, buckets)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.col(col) < F.lit(cuts[mid]).cast(kind), search(lo, mid)).otherwise(search(mid + 1, hi))
 
-def range_bucket(col: str, lo: float, hi: float, buckets: int = BUCKETS) -> Column:
-    """Equal-width bucket over [lo, hi] for arbitrary numeric values."""
-    if hi <= lo:
-        return F.lit(0)
-    return F.least(F.greatest(F.floor((F.col(col) - F.lit(lo)) / F.lit((hi - lo) / buckets)),
-                              F.lit(0)), F.lit(buckets)).cast("int")
+    return search(0, len(cuts))
 
 
 def cumulative(hist: DataFrame, keys: list[str], order_col: str, value_cols: list[str],
@@ -43,7 +61,7 @@ def cumulative(hist: DataFrame, keys: list[str], order_col: str, value_cols: lis
     the current row. Parallel: no window spans more than one bucket, and the
     bucket-offset window spans at most the bucket count per key.
     """
-    b = bucket if bucket is not None else unit_bucket(order_col)
+    b = bucket if bucket is not None else cut_bucket(hist, order_col)
     h = hist.withColumn("_b", b)
     tot = h.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     ob = F.col("_b").desc() if descending else F.col("_b").asc()

@@ -259,10 +259,13 @@ def distribution_shift(scored: DataFrame) -> DataFrame:
 
 def prob_by_outcome(scored: DataFrame) -> DataFrame:
     """Score mean / median / min / max per outcome type."""
+    from .profiling import exact_quantiles
     lab = outcome_labels(scored)
-    return lab.groupBy("prediction_type").agg(F.count(F.lit(1)).alias("n"), F.avg("y_prob").alias("mean_prob"),
-                                              F.median("y_prob").alias("median_prob"),
+    base = lab.groupBy("prediction_type").agg(F.count(F.lit(1)).alias("n"), F.avg("y_prob").alias("mean_prob"),
                                               F.min("y_prob").alias("min_prob"), F.max("y_prob").alias("max_prob"))
+    mid = exact_quantiles(lab, "y_prob", [0.5], ["prediction_type"])
+    # at most four rows a side
+    return base.join(mid.select("prediction_type", F.col("value").alias("median_prob")), "prediction_type", "left")
 
 
 def close_misses(scored: DataFrame, mean_thresh, margin: float = C.CLOSE_MARGIN) -> DataFrame:

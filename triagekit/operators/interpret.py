@@ -137,28 +137,26 @@ def representative_rows(scored: DataFrame, row_id: str = "case_id") -> DataFrame
         F.min_by(row_id, F.struct((-F.col("y_prob")).alias("a"), F.col(row_id).alias("b"))).alias("hi"),
         F.min_by(row_id, F.struct(F.col("y_prob").alias("a"), F.col(row_id).alias("b"))).alias("lo"),
         F.count(F.lit(1)).alias("n"))
-    picks = ext.select("prediction_type", F.explode(F.array(
+    picks = ext.select("prediction_type", "n", F.explode(F.array(
         F.struct(F.lit("highest").alias("pick"), F.col("hi").alias(row_id)),
         F.struct(F.lit("lowest").alias("pick"), F.col("lo").alias(row_id)))).alias("x")).select(
-        "prediction_type", "x.pick", F.col(f"x.{row_id}").alias(row_id))
+        "prediction_type", "n", "x.pick", F.col(f"x.{row_id}").alias(row_id))
     keep = ((F.col("prediction_type") == "TP") & (F.col("pick") == "highest")) | \
-           ((F.col("prediction_type") == "FN")) | ((F.col("prediction_type") == "FP") & (F.col("pick") == "highest"))
-    picks = picks.filter(keep)
-    # median-ranked TP in (score, id) order: find the score holding the rank from a per-score
+           ((F.col("prediction_type") == "FN") & ((F.col("pick") == "highest") | (F.col("n") > 1))) | ((F.col("prediction_type") == "FP") & (F.col("pick") == "highest"))
+    picks = picks.filter(keep).drop("n")   # a class of one row has one pick
+    # median-ranked TP, rank n // 2 by descending score and then id: find the score holding the rank from a per-score
     # histogram, then rank only the rows with that score by id (both steps bucketed, exact)
     tp = lab.filter(F.col("prediction_type") == "TP")
     n_tp = ext.filter(F.col("prediction_type") == "TP").select("n").first()
-    if n_tp is None:
+    if n_tp is None or n_tp["n"] < 2:
         med = lab.limit(0).select(F.lit("TP").alias("prediction_type"), F.lit("median").alias("pick"), row_id)
     else:
         target = int(n_tp["n"]) // 2
         hist = tp.groupBy("y_prob").agg(F.count(F.lit(1)).alias("c"))
-        cum = curves.cumulative(hist, [], "y_prob", ["c"], descending=False)
+        cum = curves.cumulative(hist, [], "y_prob", ["c"])
         hit = cum.filter((F.col("cum_c") - F.col("c") <= target) & (F.col("cum_c") > target)).first()
         sub = tp.filter(F.col("y_prob") == F.lit(hit["y_prob"])).withColumn("_k", F.lit(0))
-        mm = sub.agg(F.min(row_id), F.max(row_id)).first()
-        pos = SP._positions(sub.select("_k", row_id), ["_k"], row_id,
-                            curves.range_bucket(row_id, float(mm[0]), float(mm[1]), SP.HASH_BUCKETS))
+        pos = SP._positions(sub.select("_k", row_id), ["_k"], row_id, curves.cut_bucket(sub, row_id))
         offset = target - (int(hit["cum_c"]) - int(hit["c"]))
         med = pos.filter(F.col("_pos") == offset).select(F.lit("TP").alias("prediction_type"),
                                                           F.lit("median").alias("pick"), row_id)

@@ -38,20 +38,9 @@ def pos_weight(df: DataFrame, label: str = "escalated", out: str = "w") -> DataF
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(float(spw))).otherwise(F.lit(1.0)))
 
 
-def tree_memory_mb(cap: int = 2048, floor: int = 256) -> int:
-    """Split-statistics memory for tree learners: 1/8 of the task JVM heap, within [floor, cap] MB."""
-    spark = SparkSession.getActiveSession()
-    try:
-        master = spark.sparkContext.master if spark else "local"
-        if master.startswith("local"):
-            heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() / (1 << 20)
-        else:
-            mem = (spark.conf.get("spark.executor.memory", "1g") or "1g").lower()
-            unit = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1 << 20}.get(mem[-1], 1)
-            heap = float(mem[:-1] if mem[-1] in "kmgt" else mem) * unit
-        return int(max(floor, min(cap, heap / 8)))
-    except Exception:  # noqa: BLE001
-        return floor
+# Memory for the split statistics of tree learners, in MB: one fixed value, since a
+# binding limit changes the order of nodes and with it the random feature draws.
+TREE_MEMORY_MB = 512
 
 
 @dataclass
@@ -80,11 +69,11 @@ class ModelSpec:
             est = RandomForestClassifier(featuresCol=features, labelCol=label,
                                          numTrees=p.pop("n_estimators", 300), maxDepth=p.pop("max_depth", 15),
                                          minInstancesPerNode=p.pop("min_samples_leaf", 5), seed=C.SEED,
-                                         maxMemoryInMB=tree_memory_mb(), cacheNodeIds=True)
+                                         maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
         elif self.kind == "gbt":
             est = GBTClassifier(featuresCol=features, labelCol=label, maxIter=p.pop("n_estimators", 300),
                                 maxDepth=p.pop("max_depth", 5), stepSize=p.pop("learning_rate", 0.1), seed=C.SEED,
-                                maxMemoryInMB=tree_memory_mb(1024), cacheNodeIds=True)
+                                maxMemoryInMB=TREE_MEMORY_MB, cacheNodeIds=True)
         elif self.kind == "linreg":
             est = LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, standardization=False)
         else:

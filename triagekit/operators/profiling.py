@@ -58,21 +58,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float], keys: list[str] |
     keys = list(keys or [])
     x = df.select(*keys, F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     hist = x.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("c"))
-    # value buckets span each key's own [min, max], so a narrow column is not squeezed into few buckets
-    if keys:
-        rng = hist.groupBy(*keys).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))  # one row per key
-        hist = hist.join(rng, keys)
-    else:
-        mm = hist.agg(F.min("v"), F.max("v")).first()
-        if mm is None or mm[0] is None:
-            return df.sparkSession.createDataFrame([], T.StructType(
-                [T.StructField("q", T.DoubleType()), T.StructField("value", T.DoubleType())]))
-        hist = hist.withColumn("_lo", F.lit(float(mm[0]))).withColumn("_hi", F.lit(float(mm[1])))
-    nb = curves.BUCKETS
-    width = (F.col("_hi") - F.col("_lo")) / nb
-    bucket = F.when(F.col("_hi") > F.col("_lo"), F.least(F.greatest(
-        F.floor((F.col("v") - F.col("_lo")) / width), F.lit(0)), F.lit(nb))).otherwise(F.lit(0)).cast("int")
-    cum = curves.cumulative(hist, keys, "v", ["c"], descending=False, bucket=bucket)
+    cum = curves.cumulative(hist, keys, "v", ["c"], descending=False)
     totals = hist.groupBy(*keys).agg(F.sum("c").alias("n"))
     qarr = F.array(*[F.lit(float(q)) for q in qs])
     tg = totals.select(*keys, "n", F.explode(qarr).alias("q"))

@@ -69,8 +69,7 @@ def stratified_folds(df: DataFrame, row_id: str, label: str = "escalated", n_fol
 
     Shares groups across folds by design (as the learning-curve study does).
     """
-    mm = df.agg(F.min(row_id), F.max(row_id)).first()
-    b = curves.range_bucket(row_id, float(mm[0]), float(mm[1]), HASH_BUCKETS)
+    b = curves.cut_bucket(df, row_id)
     p = _positions(df, [label], row_id, b)
     return p.withColumn("fold", F.pmod(F.col("_pos"), F.lit(n_folds)).cast("int")).drop("_pos")
 
@@ -97,8 +96,7 @@ def permute_column(df: DataFrame, row_id: str, col: str, seed: int) -> DataFrame
     rank r moves to the row holding hash-rank r. Two keyed position tables and
     one equi-join; the multiset of values is preserved.
     """
-    mm = df.agg(F.min(row_id), F.max(row_id)).first()
-    b = curves.range_bucket(row_id, float(mm[0]), float(mm[1]), HASH_BUCKETS)
+    b = curves.cut_bucket(df, row_id)
     one = df.withColumn("_k", F.lit(0))
     by_id = _positions(one.select("_k", row_id, col), ["_k"], row_id, b).select(F.col("_pos").alias("_r"), F.col(col).alias("_v"))
     hashed = one.select("_k", row_id, F.xxhash64(F.col(row_id).cast("string"), F.lit(seed)).alias("_h"))
@@ -172,11 +170,11 @@ def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec:
             T.StructField(qid, qtype), T.StructField(pid, ptype), T.StructField("sq_dist", T.DoubleType()),
             T.StructField("rank", T.IntegerType())]))
     d = len(p.select("_pv").first()[0])
-    try:
+    if n > 1:
         pc = _PCA(k=1, inputCol="_x", outputCol="_y").fit(p.select(array_to_vector("_pv").alias("_x")))
         u = [float(x) for x in pc.pc.toArray()[:, 0]]  # unit vector, one value per dimension
-    except Exception:  # noqa: BLE001 - any unit direction keeps the search exact; only pruning differs
-        u = [1.0 / math.sqrt(d)] * d
+    if n <= 1 or not all(math.isfinite(x) for x in u):
+        u = [1.0 / math.sqrt(d)] * d  # any unit direction keeps the search exact; only pruning differs
     ua = F.array(*[F.lit(x) for x in u])
     proj = lambda c: F.aggregate(F.zip_with(c, ua, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
     q = q.withColumn("_qproj", proj(F.col("_qv")))
@@ -248,6 +246,8 @@ def smote(train: DataFrame, row_id: str, label: str = "escalated", vec: str = "v
     minority = min(cmap, key=lambda c: (cmap[c], c))
     majority = max(cmap, key=lambda c: (cmap[c], -c))
     need = cmap[majority] - cmap[minority]
+    if need and cmap[minority] < 2:
+        raise ValueError("one minority row has no neighbour to interpolate towards")
     mino = train.filter(F.col(label) == minority).select(row_id, vec)
     nn = knn(mino, mino.withColumnRenamed(row_id, "_nb"), k, row_id, "_nb", vec, exclude_self=True)
     n_min = cmap[minority]

@@ -18,26 +18,27 @@ from . import curves
 
 # ----------------------------------------------------------------------------- distributions (scalars)
 
-def _jvm_dist(spark: SparkSession):
-    return spark.sparkContext._jvm.org.apache.commons.math3.distribution
+def _jvm_math(spark: SparkSession):
+    return spark.sparkContext._jvm.org.apache.commons.math3
 
 
 def chi2_sf(spark: SparkSession, x: float, dof: int) -> float:
     if x is None or dof is None or dof <= 0 or x != x:
         return float("nan")
-    return float(1.0 - _jvm_dist(spark).ChiSquaredDistribution(float(dof)).cumulativeProbability(float(x)))
+    # the upper tail itself: 1 - cdf is 0 as soon as the tail is below 1e-16
+    return float(_jvm_math(spark).special.Gamma.regularizedGammaQ(dof / 2.0, max(0.0, float(x)) / 2.0))
 
 
 def norm_sf(spark: SparkSession, z: float) -> float:
     if z is None or z != z:
         return float("nan")
-    return float(1.0 - _jvm_dist(spark).NormalDistribution(0.0, 1.0).cumulativeProbability(float(z)))
+    return float(_jvm_math(spark).distribution.NormalDistribution(0.0, 1.0).cumulativeProbability(-float(z)))
 
 
 def t_sf(spark: SparkSession, t: float, df: float) -> float:
     if t is None or t != t or df is None or df <= 0:
         return float("nan")
-    return float(1.0 - _jvm_dist(spark).TDistribution(float(df)).cumulativeProbability(float(t)))
+    return float(_jvm_math(spark).distribution.TDistribution(float(df)).cumulativeProbability(-float(t)))
 
 
 # ----------------------------------------------------------------------------- chi-square family
@@ -63,7 +64,8 @@ def chi_square_tables(long: DataFrame, yates: bool = True) -> DataFrame:
     # full grid per test: equi-join of the two (category-level) margins on the test key
     grid = rows.join(cols, "test").join(cells, ["test", "a", "b"], "left").fillna(0, subset=["o"])
     g = grid.join(dims, "test")
-    e = F.col("ra") * F.col("cb") / F.col("n")
+    # doubles before multiplying: the product of two counts overflows a bigint at scale
+    e = F.col("ra").cast("double") * F.col("cb") / F.col("n")
     diff = F.abs(F.col("o") - e)
     is22 = (F.col("n_rows") == 2) & (F.col("n_cols") == 2)
     adj = F.when(is22, F.greatest(diff - 0.5, F.lit(0.0))).otherwise(diff) if yates else diff
@@ -94,7 +96,7 @@ def cramers_v(df: DataFrame, cols: list[str] = C.CATEGORICAL_COLS) -> DataFrame:
     pairs = [(f"{cols[i]}|{cols[j]}", cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     t = chi_square_tables(long_pairs(df, pairs))
     md = F.least(F.col("n_rows"), F.col("n_cols")) - 1
-    v = F.when((md == 0) | (F.col("n") == 0), F.lit(0.0)).otherwise(F.sqrt(F.col("chi2") / (F.col("n") * md)))
+    v = F.when((md == 0) | (F.col("n") == 0), F.lit(0.0)).otherwise(F.sqrt(F.col("chi2") / (F.col("n").cast("double") * md)))
     return t.select(F.split("test", r"\|")[0].alias("feature_1"), F.split("test", r"\|")[1].alias("feature_2"),
                     v.alias("cramers_v"))
 
@@ -118,18 +120,18 @@ def mann_whitney(df: DataFrame, col: str, label: str = "escalated") -> DataFrame
     """
     x = df.select(F.col(col).cast("double").alias("v"), F.col(label).alias("y")).filter(F.col("v").isNotNull())
     hist = x.groupBy("v").agg(F.count(F.lit(1)).alias("c"), F.count_if(F.col("y") == 0).alias("c0"))
-    mm = x.agg(F.min("v"), F.max("v")).first()
-    cum = curves.cumulative(hist, [], "v", ["c"], descending=False,
-                            bucket=curves.range_bucket("v", float(mm[0]), float(mm[1])))
+    cum = curves.cumulative(hist, [], "v", ["c"], descending=False)
     mid = (F.col("cum_c") - F.col("c")) + (F.col("c") + 1) / 2.0
+    cd = F.col("c").cast("double")
     s = cum.agg(F.sum(F.col("c0") * mid).alias("r0"), F.sum("c0").alias("n0"), F.sum("c").alias("n"),
-                F.sum(F.col("c") * F.col("c") * F.col("c") - F.col("c")).alias("tie"))
-    n0, n, n1 = F.col("n0"), F.col("n"), F.col("n") - F.col("n0")
+                F.sum(cd * cd * cd - cd).alias("tie"))
+    counts = F.col("n0").alias("n0"), (F.col("n") - F.col("n0")).alias("n1")
+    n0, n, n1 = (x.cast("double") for x in (F.col("n0"), F.col("n"), F.col("n") - F.col("n0")))
     u0 = F.col("r0") - n0 * (n0 + 1) / 2.0
     mu = n0 * n1 / 2.0
     sigma = F.sqrt(n0 * n1 / 12.0 * ((n + 1) - F.col("tie") / (n * (n - 1))))
     u_big = F.greatest(u0, n0 * n1 - u0)
-    return s.select(n0.alias("n0"), n1.alias("n1"), u0.alias("u"), ((u_big - mu - 0.5) / sigma).alias("z"),
+    return s.select(*counts, u0.alias("u"), ((u_big - mu - 0.5) / sigma).alias("z"),
                     F.col("tie").alias("tie_term"))
 
 
@@ -169,8 +171,9 @@ def correlations(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def max_correlation(corr: DataFrame) -> DataFrame:
-    """Strongest |r| pair (first pair on ties) and verdict at 0.3 / 0.7 (E5)."""
-    m = corr.agg(F.max_by(F.struct("col_a", "col_b", "r"), F.abs("r")).alias("m"))
+    """Strongest |r| pair (first pair by name on ties) and verdict at 0.3 / 0.7 (E5)."""
+    first = F.struct(-F.abs("r"), "col_a", "col_b")
+    m = corr.agg(F.min_by(F.struct("col_a", "col_b", "r"), first).alias("m"))
     m = m.select("m.col_a", "m.col_b", F.abs("m.r").alias("max_abs_r"))
     verdict = (F.when(F.col("max_abs_r") < C.CORR_LOW, "none").when(F.col("max_abs_r") < C.CORR_HIGH, "moderate")
                .otherwise("high"))

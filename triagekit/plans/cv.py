@@ -20,10 +20,15 @@ from ..operators import evaluation as E
 from ..operators import features as FE
 from ..operators import models as MD
 from ..operators import splits as SP
-from ..session import persist_shared
+from ..session import cut_lineage, persist_shared
 from .parallel import parallel_map
 
 
+# Rows in a partition of a fit: an iterative learner runs many short jobs, and
+# smaller partitions only add scheduling to each.
+FIT_ROWS = 20_000
+
+
 def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
     arr = tr.select(F.col(row_id).cast("string").alias(row_id), label, vector_to_array("features").alias("vec"))
     out = SP.smote(arr, row_id, label, "vec")
@@ -33,15 +38,20 @@ def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
 def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, fold: str = "fold",
               label: str = "escalated", row_id: str = "case_id", n_folds: int = C.N_FOLDS,
               keep_train: bool = True, hooks: dict | None = None) -> DataFrame:
-    """Long scored table for every (model, fold, split); (fold, model) fits run concurrently."""
+    """Long scored table for every (model, fold, split); (fold, model) fits run concurrently.
+
+    Rows are scored once, into the shared checkpoint folder; everything cached
+    on the way is released.
+    """
     df = persist_shared(df)  # every fold reads it twice (train and validation)
+    parts_of_fit = max(1, -(-df.count() // FIT_ROWS))
 
     def prepare_fold(k):
         train = df.filter(F.col(fold) != k)
         val = df.filter(F.col(fold) == k)
         fp = prep.fit(train)
-        tr = fp.transform(train).select(F.col(row_id).cast("string").alias(row_id), label, "features").cache()
-        va = fp.transform(val).select(F.col(row_id).cast("string").alias(row_id), label, "features").cache()
+        tr, va = (fp.transform(x).select(F.col(row_id).cast("string").alias(row_id), label, "features")
+                  .coalesce(parts_of_fit).cache() for x in (train, val))
         return k, fp, tr, va
 
     prepared = parallel_map(prepare_fold, range(n_folds))
@@ -71,6 +81,11 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = cut_lineage(out)
+    for _, _, tr, va in prepared:
+        tr.unpersist()
+        va.unpersist()
+    df.unpersist()
     return out
 
 

@@ -18,6 +18,7 @@ from ..operators import models as MD
 from ..operators import splits as SP
 from ..sources.cases import cases, prepare
 from ..sources.tables import read_table
+from . import cv as CV
 from . import studies as S
 from .registry import register
 from .scoring import scored_with_thresholds
@@ -58,6 +59,22 @@ def _case_prep():
     return FE.Preprocessor(text_col=None)
 
 
+def _study_cases(spark, sf_dir):
+    """Labelled text case table of the model studies: text, categories, numbers, target and customer-disjoint folds."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("toxic").alias("escalated"))
+    t = d.join(lab, "doc_id").select(
+        F.col("doc_id").alias("case_id"), F.col("source").alias("customer_id"), "lang",
+        F.col("quality").cast("string").alias("quality"), F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"), "escalated", clean_text("text").alias(C.TEXT_COL_CLEAN))
+    # the analyzer's folding is computed once and shared by all folds and configurations
+    return FE.normalized_text(SP.assign_group_folds(t), C.TEXT_COL_CLEAN, "_text_norm").drop(C.TEXT_COL_CLEAN)
+
+
+def _study_prep(text="_text_norm", cats=("lang", "quality"), nums=("n_chars", "n_words"), **spec):
+    return FE.Preprocessor(text, list(cats), list(nums), FE.pre_normalized(FE.TfidfSpec(**spec)))
+
+
 def _text_prep(**spec):
     return FE.Preprocessor(C.TEXT_COL_CLEAN, ["lang"], ["n_chars"], FE.TfidfSpec(**spec))
 
@@ -85,36 +102,46 @@ def _unpivot_cats(src: str, where: str) -> str:
                               for c in C.CATEGORICAL_COLS)
 
 
+_FOLDS = "folds AS (SELECT DISTINCT fold AS k FROM model_cases)"
+
+
 @register("onehot_encode", ops="I3",
           sql=with_(MODEL + f""",
-cats AS ({_unpivot_cats('model_cases', 'fold <> 0')}),
-d AS (SELECT DISTINCT col, v FROM cats WHERE v IS NOT NULL),
-f AS (SELECT col, min(v) AS first_v FROM d GROUP BY col),
-keep AS (SELECT d.col, d.v FROM d JOIN f ON d.col = f.col WHERE d.v <> f.first_v),
-va AS ({_unpivot_cats('model_cases', 'fold = 0')})""",
-                    "SELECT va.case_id, va.col || '_' || va.v AS feature FROM va JOIN keep ON va.col = keep.col AND va.v = keep.v"))
+{_FOLDS},
+cats AS ({" UNION ALL ".join(f"SELECT case_id, fold, '{c}' AS col, CAST({c} AS VARCHAR) AS v FROM model_cases" for c in C.CATEGORICAL_COLS)}),
+d AS (SELECT DISTINCT k, col, v FROM cats JOIN folds ON fold <> k WHERE v IS NOT NULL),
+f AS (SELECT k, col, min(v) AS first_v FROM d GROUP BY k, col),
+keep AS (SELECT d.k, d.col, d.v FROM d JOIN f ON d.k = f.k AND d.col = f.col WHERE d.v <> f.first_v)""",
+                    "SELECT c.case_id, c.fold, c.col || '_' || c.v AS feature FROM cats c JOIN keep ON c.fold = keep.k AND c.col = keep.col AND c.v = keep.v"))
 def q_onehot_encode(spark, sf_dir):
+    """Indicators of every validation fold, encoded with the other folds' categories."""
     m = _model_cases(spark, sf_dir)
-    oh = FE.OneHotModel.fit(m.filter(F.col("fold") != 0), C.CATEGORICAL_COLS)
-    kept = [(c, v) for c, vals in oh.categories.items() for v in vals[1:]]
-    kt = spark.createDataFrame(kept, "column string, value string")  # bounded by category counts
-    va = m.filter(F.col("fold") == 0).select("case_id", *[F.col(c).cast("string").alias(c) for c in C.CATEGORICAL_COLS])
-    long = va.unpivot(["case_id"], C.CATEGORICAL_COLS, "column", "value")
-    return long.join(F.broadcast(kt), ["column", "value"]).select(
-        "case_id", F.concat_ws("_", "column", "value").alias("feature"))
+    long = m.select("case_id", "fold", *[F.col(c).cast("string").alias(c) for c in C.CATEGORICAL_COLS]).unpivot(
+        ["case_id", "fold"], C.CATEGORICAL_COLS, "column", "value").where("value is not null")
+    kept = []
+    for k in range(C.N_FOLDS):
+        oh = FE.OneHotModel.fit(m.filter(F.col("fold") != k), C.CATEGORICAL_COLS)
+        kept += [(k, c, v) for c, vals in oh.categories.items() for v in vals[1:]]
+    kt = spark.createDataFrame(kept, "fold int, column string, value string")  # bounded by category counts
+    return long.join(F.broadcast(kt), ["fold", "column", "value"]).select(
+        "case_id", "fold", F.concat_ws("_", "column", "value").alias("feature"))
 
 
 @register("standard_scale", ops="I4", doubles=["value"],
-          sql=with_(MODEL + ",\nst AS (" + " UNION ALL ".join(
-              f"SELECT '{c}' AS col, avg(CAST({c} AS DOUBLE)) AS m, stddev_pop(CAST({c} AS DOUBLE)) AS s FROM model_cases WHERE fold <> 0"
-              for c in C.NUMERIC_COLS) + "),\nva AS (" + " UNION ALL ".join(
-              f"SELECT case_id, '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM model_cases WHERE fold = 0" for c in C.NUMERIC_COLS) + ")",
-                    "SELECT va.case_id, va.col AS feature, (x - m) / (CASE WHEN s > 0 THEN s ELSE 1.0 END) AS value FROM va JOIN st ON va.col = st.col"))
+          sql=with_(MODEL + f""",
+{_FOLDS},
+x AS ({" UNION ALL ".join(f"SELECT case_id, fold, '{c}' AS col, CAST({c} AS DOUBLE) AS x FROM model_cases" for c in C.NUMERIC_COLS)}),
+st AS (SELECT k, col, avg(x) AS m, stddev_pop(x) AS s FROM x JOIN folds ON fold <> k GROUP BY k, col)""",
+                    "SELECT x.case_id, x.fold, x.col AS feature, (x - m) / (CASE WHEN s > 0 THEN s ELSE 1.0 END) AS value FROM x JOIN st ON x.col = st.col AND x.fold = st.k"))
 def q_standard_scale(spark, sf_dir):
+    """Scaled numbers of every validation fold, with the other folds' means and deviations."""
     m = _model_cases(spark, sf_dir)
-    sc = FE.ScalerModel.fit(m.filter(F.col("fold") != 0), C.NUMERIC_COLS)
-    va = m.filter(F.col("fold") == 0).select("case_id", *[e.alias(n) for n, e in sc.columns()])
-    return va.unpivot(["case_id"], C.NUMERIC_COLS, "feature", "value")
+    out = None
+    for k in range(C.N_FOLDS):
+        sc = FE.ScalerModel.fit(m.filter(F.col("fold") != k), C.NUMERIC_COLS)
+        va = m.filter(F.col("fold") == k).select("case_id", "fold", *[e.alias(n) for n, e in sc.columns()])
+        out = va if out is None else out.unionByName(va)
+    return out.unpivot(["case_id", "fold"], C.NUMERIC_COLS, "feature", "value")
 
 
 # --------------------------------------------------------------------------------------- splits
@@ -133,6 +160,14 @@ def q_group_fold_balance(spark, sf_dir):
     return bal.withColumn("n_overlapping", F.lit(int(ov.first()["n_overlapping"])))  # one scalar
 
 
+@register("group_fold_sizes", ops="J1",
+          sql=with_(CASES, """SELECT CAST(k AS INTEGER) AS fold, CAST((n - k + 4) // 5 AS BIGINT) AS n_groups
+FROM (SELECT count(DISTINCT customer_id) AS n FROM cases), range(5) AS r(k)"""))
+def q_group_fold_sizes(spark, sf_dir):
+    """Groups per dealt fold: dealing in turn fixes the sizes whatever the hash order."""
+    return SP.group_folds(cases(spark, sf_dir)).groupBy("fold").agg(F.count(F.lit(1)).alias("n_groups"))
+
+
 @register("fold_overlap", ops="H1",
           sql=with_(CASES, """SELECT count(*) AS n_groups, count(*) FILTER (WHERE k > 1) AS n_overlapping
 FROM (SELECT customer_id, count(DISTINCT fold) AS k FROM cases GROUP BY customer_id)"""))
@@ -159,6 +194,17 @@ def q_smote_rows(spark, sf_dir):
                       F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v).alias("sq_norm"))
 
 
+@register("smote_counts", ops="J3",
+          sql=with_(MODEL, """SELECT escalated, synthetic, n FROM (
+  SELECT escalated, false AS synthetic, count(*) AS n FROM model_cases WHERE fold <> 0 GROUP BY escalated
+  UNION ALL
+  SELECT first(escalated ORDER BY n, escalated), true, max(n) - min(n) FROM (
+    SELECT escalated, count(*) AS n FROM model_cases WHERE fold <> 0 GROUP BY escalated)) WHERE n > 0"""))
+def q_smote_counts(spark, sf_dir):
+    """Rows per class and origin after resampling: the classes are even."""
+    return q_smote_rows(spark, sf_dir).groupBy("escalated", "synthetic").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("knn_vote", ops="K6",
           doubles=["vote_share"],
           sql="""WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
@@ -177,130 +223,129 @@ def q_knn_vote(spark, sf_dir):
 
 @register("lr_cv", ops="K1,L1,L2")
 def q_lr_cv(spark, sf_dir):
-    return S.lr_cv(_model_cases(spark, sf_dir), _case_prep())
+    return S.lr_cv(_study_cases(spark, sf_dir), _study_prep())
 
 
-@register("model_comparison", ops="K1-K5,L2,L5,J3")
+@register("model_comparison", ops="K1-K5,L2,L3,L5,J3")
 def q_model_comparison(spark, sf_dir):
-    specs = [s for s in MD.reference_models() if s.kind != "gbt"]
-    return S.compare_models(_model_cases(spark, sf_dir), _case_prep(), specs)
+    """All six models with one base (LR_baseline) and one selection; XGB_tuned is the best of the grid."""
+    cases_ = _study_cases(spark, sf_dir)
+    best = S.grid_search(cases_, _study_prep()).where("rank = 1").first()
+    tuned = MD.ModelSpec("XGB_tuned", "gbt", {k: best[k] for k in ("n_estimators", "max_depth", "learning_rate")}, "pos")
+    return S.compare_models(cases_, _study_prep(), MD.reference_models() + [tuned])
 
 
 @register("boosted_comparison", ops="K3,K5,L2,L5")
 def q_boosted_comparison(spark, sf_dir):
-    specs = [s for s in MD.reference_models() if s.kind == "gbt"]
-    return S.compare_models(_model_cases(spark, sf_dir), _case_prep(), specs)
+    """The boosted models next to LR_baseline, the base of the paired tests."""
+    specs = [s for s in MD.reference_models() if s.kind == "gbt" or s.name == "LR_baseline"]
+    return S.compare_models(_study_cases(spark, sf_dir), _study_prep(), specs)
+
+
+@register("tuned_folds", ops="L4")
+def q_tuned_folds(spark, sf_dir):
+    """Per-fold metrics of the best grid configuration."""
+    cases_ = _study_cases(spark, sf_dir)
+    best = S.grid_search(cases_, _study_prep()).where("rank = 1").first()
+    spec = MD.ModelSpec("XGB_tuned", "gbt", {k: best[k] for k in ("n_estimators", "max_depth", "learning_rate")}, "pos")
+    return CV.cv_fold_metrics(CV.cv_scores(cases_, [spec], _study_prep()))
+
+
+@register("cluster_profile", ops="K10")
+def q_cluster_profile(spark, sf_dir):
+    """Size and escalation rate per cluster at the k of the best silhouette."""
+    cases_ = _study_cases(spark, sf_dir)
+    k = S.kmeans_study(cases_, _study_prep()).where("rank = 1").first()["k"]
+    return S.cluster_profile(cases_, _study_prep(), k)
 
 
 @register("grid_search", ops="L3,L4")
 def q_grid_search(spark, sf_dir):
-    return S.grid_search(_model_cases(spark, sf_dir), _case_prep())
+    return S.grid_search(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("regularisation_study", ops="K7")
 def q_regularisation_study(spark, sf_dir):
-    return S.regularisation_study(_model_cases(spark, sf_dir), _case_prep())
+    return S.regularisation_study(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("ols_baseline", ops="K8,E8")
 def q_ols_baseline(spark, sf_dir):
-    return S.ols_baseline(_model_cases(spark, sf_dir), _case_prep())
+    return S.ols_baseline(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("knn_study", ops="K6")
 def q_knn_study(spark, sf_dir):
-    return S.knn_study(_model_cases(spark, sf_dir), _case_prep())
+    return S.knn_study(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("pca_study", ops="K9")
 def q_pca_study(spark, sf_dir):
-    return S.pca_study(_model_cases(spark, sf_dir), _case_prep())
+    return S.pca_study(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("explained_variance", ops="F4,I6")
 def q_explained_variance(spark, sf_dir):
-    return S.explained_variance(_model_cases(spark, sf_dir), _case_prep())
+    return S.explained_variance(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("kmeans_study", ops="K10,K11")
 def q_kmeans_study(spark, sf_dir):
-    return S.kmeans_study(_model_cases(spark, sf_dir), _case_prep())
+    return S.kmeans_study(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("silhouette", ops="K11,J4")
 def q_silhouette(spark, sf_dir):
-    t = S.kmeans_study(_model_cases(spark, sf_dir), _case_prep(), ks=[2])
+    t = S.kmeans_study(_study_cases(spark, sf_dir), _study_prep(), ks=[2])
     return t.select("k", "silhouette_sq_euclidean")
 
 
 @register("feature_ablation", ops="L6,I2,I5")
 def q_feature_ablation(spark, sf_dir):
-    # the analyzer's lower-case + accent folding is computed once and shared by every configuration
-    t = FE.normalized_text(_text_cases(spark, sf_dir), C.TEXT_COL_CLEAN, "_text_norm")
-    norm = lambda **kw: FE.pre_normalized(FE.TfidfSpec(**kw))
-    configs = {
-        "full": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm()),
-        "structured_only": FE.Preprocessor(None, ["lang"], ["n_chars"]),
-        "no_numeric": FE.Preprocessor("_text_norm", ["lang"], [], norm()),
-        "text_only": FE.Preprocessor("_text_norm", [], [], norm()),
-        "unigrams": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(ngram_max=1)),
-        "tfidf_200": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(max_features=200)),
-        "tfidf_1000": FE.Preprocessor("_text_norm", ["lang"], ["n_chars"], norm(max_features=1000)),
-    }
-    from . import cv as CV
-    from .parallel import parallel_map
-    spec = MD.reference_models()[0]
-    t = t.cache()
-
-    def run(item):
-        name, prep = item
-        s = CV.cv_scores(t, [spec], prep, row_id="doc_id")
-        return CV.cv_fold_metrics(s).withColumn("model", F.lit(name)).cache()
-
-    parts = parallel_map(run, list(configs.items()), workers=3)
-    fm = parts[0]
-    for p in parts[1:]:
-        fm = fm.unionByName(p)
-    fm = fm.cache()
-    tab = S._fold_f2_table(fm).withColumnRenamed("model", "configuration")
-    base = float(tab.filter(F.col("configuration") == "full").first()["f2_mean"])
-    tt = S.paired_vs_baseline(fm, "full").withColumnRenamed("model", "configuration").drop("mean_diff_vs_baseline")
-    return tab.withColumn("delta_vs_baseline", F.col("f2_mean") - F.lit(base)).join(tt, "configuration", "left")
+    return S.feature_ablation(_study_cases(spark, sf_dir), {
+        "full": _study_prep(),
+        "structured_only": _study_prep(text=None),
+        "no_numeric": _study_prep(nums=()),
+        "text_only": _study_prep(cats=(), nums=()),
+        "unigrams": _study_prep(ngram_max=1),
+        "tfidf_200": _study_prep(max_features=200),
+        "tfidf_1000": _study_prep(max_features=1000),
+    })
 
 
 @register("drop_feature_ablation", ops="L7")
 def q_drop_feature_ablation(spark, sf_dir):
-    return S.drop_feature_ablation(_model_cases(spark, sf_dir), _case_prep(), "sentiment")
+    return S.drop_feature_ablation(_study_cases(spark, sf_dir), _study_prep(), "quality")
 
 
 @register("learning_curve", ops="L8,J2")
 def q_learning_curve(spark, sf_dir):
-    return S.learning_curve(_model_cases(spark, sf_dir), _case_prep())
+    return S.learning_curve(_study_cases(spark, sf_dir), _study_prep())
 
 
 @register("representative_fold", ops="L12,C5")
 def q_representative_fold(spark, sf_dir):
-    return S.fold_coefficients(_model_cases(spark, sf_dir), _case_prep(), 0)
+    return S.fold_coefficients(_study_cases(spark, sf_dir), _study_prep(), 0)
 
 
 @register("coefficient_importance", ops="M1,B18,B23,G2")
 def q_coefficient_importance(spark, sf_dir):
-    return IN.coefficient_importance(S.fold_coefficients(_model_cases(spark, sf_dir), _case_prep(), 0))
+    return IN.coefficient_importance(S.fold_coefficients(_study_cases(spark, sf_dir), _study_prep(), 0))
 
 
 @register("feature_blocks", ops="B19")
 def q_feature_blocks(spark, sf_dir):
-    return IN.feature_blocks(S.fold_coefficients(_model_cases(spark, sf_dir), _case_prep(), 0))
+    return IN.feature_blocks(S.fold_coefficients(_study_cases(spark, sf_dir), _study_prep(), 0))
 
 
 @register("permutation_importance", ops="M2,J5,O2")
 def q_permutation_importance(spark, sf_dir):
-    return S.fold_permutation_importance(_model_cases(spark, sf_dir), _case_prep(), 0)
+    return S.fold_permutation_importance(_study_cases(spark, sf_dir), _study_prep(), 0)
 
 
 @register("row_contributions", ops="M3")
 def q_row_contributions(spark, sf_dir):
-    return S.fold_row_contributions(_model_cases(spark, sf_dir), _case_prep(), 0)
+    return S.fold_row_contributions(_study_cases(spark, sf_dir), _study_prep(), 0)
 
 
 _REP_SQL = with_(SCORED + """,
@@ -308,13 +353,13 @@ lab AS (SELECT case_id, y_prob, escalated, CASE WHEN escalated = 1 AND y_pred =
   WHEN escalated = 1 AND y_pred = 0 THEN 'FN' ELSE 'TN' END AS prediction_type FROM scored),
 ext AS (SELECT prediction_type, first(case_id ORDER BY y_prob DESC, case_id) AS hi, first(case_id ORDER BY y_prob, case_id) AS lo,
   count(*) AS n FROM lab GROUP BY prediction_type),
-tpr AS (SELECT case_id, row_number() OVER (ORDER BY y_prob, case_id) - 1 AS pos FROM lab WHERE prediction_type = 'TP'),
+tpr AS (SELECT case_id, row_number() OVER (ORDER BY y_prob DESC, case_id) - 1 AS pos FROM lab WHERE prediction_type = 'TP'),
 picks AS (
   SELECT 'TP' AS prediction_type, 'highest' AS pick, hi AS case_id FROM ext WHERE prediction_type = 'TP' UNION ALL
   SELECT 'FN', 'highest', hi FROM ext WHERE prediction_type = 'FN' UNION ALL
-  SELECT 'FN', 'lowest', lo FROM ext WHERE prediction_type = 'FN' UNION ALL
+  SELECT 'FN', 'lowest', lo FROM ext WHERE prediction_type = 'FN' AND n > 1 UNION ALL
   SELECT 'FP', 'highest', hi FROM ext WHERE prediction_type = 'FP' UNION ALL
-  SELECT 'TP', 'median', t.case_id FROM tpr t, ext e WHERE e.prediction_type = 'TP' AND t.pos = e.n // 2)""",
+  SELECT 'TP', 'median', t.case_id FROM tpr t, ext e WHERE e.prediction_type = 'TP' AND e.n > 1 AND t.pos = e.n // 2)""",
                  """SELECT p.case_id, p.prediction_type, p.pick, l.y_prob, l.escalated FROM picks p
 JOIN lab l ON p.case_id = l.case_id AND p.prediction_type = l.prediction_type""")
 
@@ -327,16 +372,14 @@ def q_representative_rows(spark, sf_dir):
 
 @register("silhouette_sample", ops="J4,K11")
 def q_silhouette_sample(spark, sf_dir):
-    """Silhouette on a seeded 2,000-row sample (the sampling is the feature), K-Means k=2 on 50 PCs."""
-    m = _model_cases(spark, sf_dir)
-    sample = SP.seeded_sample(m, "case_id", C.SILHOUETTE_SAMPLE)
-    t = S.kmeans_study(sample, _case_prep(), ks=[2])
-    return t.select("k", "silhouette_sq_euclidean").withColumn("sample_rows", F.lit(C.SILHOUETTE_SAMPLE))
+    """Preprocessor, PCA and K-Means (k=2) fitted on all rows; silhouette of a seeded sample of them."""
+    t = S.kmeans_study(_study_cases(spark, sf_dir), _study_prep(), ks=[2], score_rows=C.SILHOUETTE_SAMPLE)
+    return t.select("k", "silhouette_sq_euclidean", F.col("scored_rows").alias("sample_rows"))
 
 
 @register("report_permutation", ops="P7,M2")
 def q_report_permutation(spark, sf_dir):
     """Permutation rows with mean magnitude above 0.001 (all rows if none qualify)."""
-    pi = S.fold_permutation_importance(_model_cases(spark, sf_dir), _case_prep(), 0).cache()
+    pi = S.fold_permutation_importance(_study_cases(spark, sf_dir), _study_prep(), 0).cache()
     big = pi.filter(F.abs("importance_mean") > 0.001)
     return big if big.limit(1).count() > 0 else pi

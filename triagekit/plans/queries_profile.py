@@ -43,7 +43,16 @@ def q_prepare_cases(spark, sf_dir):
     return prepare(cases(spark, sf_dir)).select(*PREPARED_COLS)
 
 
-@register("table_profile", ops="A3")
+# The columns and types of the case view.
+_CASE_COLUMNS = [("case_id", "bigint"), ("customer_id", "bigint"), ("ts", "timestamp_ntz"), ("escalation_level", "int"),
+                 ("escalated", "int"), ("customer_type", "string"), ("tenure_type", "string"), ("meter_type", "string"),
+                 ("region", "string"), ("issue_category", "string"), ("sentiment", "string"),
+                 ("emotion_intensity", "double"), ("resolution_time", "double"), ("y_prob", "double"), ("fold", "int")]
+
+
+@register("table_profile", ops="A3",
+          sql=with_(CASES, 'SELECT c AS "column", t AS dtype, (SELECT count(*) FROM cases) AS n_rows FROM (VALUES '
+                    + ", ".join(f"('{c}', '{t}')" for c, t in _CASE_COLUMNS) + ") AS v(c, t)"))
 def q_table_profile(spark, sf_dir):
     return PF.table_profile(cases(spark, sf_dir))
 
@@ -299,7 +308,7 @@ def q_cramers_matrix(spark, sf_dir):
     return ST.cramers_matrix(ST.cramers_v(prepare(cases(spark, sf_dir))))
 
 
-@register("mann_whitney", ops="E2", doubles=["u", "z"],
+@register("mann_whitney", ops="E2", doubles=["u", "z", "tie_term"],
           sql=with_(CASES + """,
 h AS (SELECT emotion_intensity AS v, count(*) AS c, count(*) FILTER (WHERE escalated = 0) AS c0 FROM cases
       WHERE emotion_intensity IS NOT NULL GROUP BY 1),

@@ -18,7 +18,8 @@ SELECT o.o_orderkey AS case_id, o.o_custkey AS customer_id, o.o_orderdate AS ts,
        WHEN o.o_orderstatus = 'O' THEN 'Neutral' ELSE 'Positive' END AS sentiment,
   o.o_totalprice / 5e5 AS emotion_intensity,
   CAST((o.o_orderkey * 31) % 720 AS DOUBLE) / 1e1 AS resolution_time,
-  CAST((o.o_orderkey * 7919) % 1000 AS DOUBLE) / 1e3 AS y_prob,
+  CAST((o.o_orderkey * 7919) % 59999 + CASE WHEN o.o_orderpriority IN ('1-URGENT','2-HIGH') AND o.o_orderkey % 5 <> 3
+       THEN 40000 ELSE 0 END AS DOUBLE) / 1e5 AS y_prob,
   CAST(o.o_custkey % 5 AS INT) AS fold
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey

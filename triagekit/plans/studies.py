@@ -8,6 +8,7 @@ component); row-level work stays in Spark jobs, and only model metadata
 from __future__ import annotations
 
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from ..operators import interpret as IN
 from ..operators import models as MD
 from ..operators import splits as SP
 from ..operators import stats as ST
-from ..session import cut_lineage
+from ..session import persist_shared
 from . import cv
 
 
@@ -54,8 +55,7 @@ def lr_cv(df: DataFrame, prep: FE.Preprocessor, **kw) -> DataFrame:
 
 def compare_models(df: DataFrame, prep: FE.Preprocessor, specs: list[MD.ModelSpec]) -> DataFrame:
     """Model comparison with ranking and selection."""
-    # the scored table unions every (model, fold, split): checkpoint it to the shared folder
-    s = cut_lineage(cv.cv_scores(df, specs, prep))
+    s = cv.cv_scores(df, specs, prep)
     fm = cv.cv_fold_metrics(s).cache()
     ranked = cv.rank_models(cv.model_summary(fm, s))
     base = specs[0].name
@@ -66,7 +66,7 @@ def regularisation_study(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
     """F2 mean / population std and mean non-zero coefficients per LR penalty config (K7)."""
     nz = []
     hooks = {"model": lambda spec, k, model, fp: nz.append((spec.name, k, MD.nonzero_coefficients(model)))}
-    s = cut_lineage(cv.cv_scores(df, MD.regularisation_models(), prep, hooks=hooks))
+    s = cv.cv_scores(df, MD.regularisation_models(), prep, hooks=hooks)
     t = _fold_f2_table(cv.cv_fold_metrics(s))
     spark = df.sparkSession
     z = spark.createDataFrame(nz, "model string, fold int, nonzero int").groupBy("model").agg(
@@ -94,13 +94,15 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
     """
     from .parallel import parallel_map
     n_max = max(grid["n_estimators"])
+    df = persist_shared(df)
+    parts = max(1, -(-df.count() // cv.FIT_ROWS))
 
     def prepare_fold(k):
         train = df.filter(F.col("fold") != k)
         val = df.filter(F.col("fold") == k)
         fp = prep.fit(train)
-        tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).cache()
-        va = fp.transform(val).select(label, "features").cache()
+        tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).coalesce(parts).cache()
+        va = fp.transform(val).select(label, "features").coalesce(parts).cache()
         tr.count()
         va.count()
         return tr, va
@@ -124,6 +126,8 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
 
     items = [(k, d, lr) for k in range(C.N_FOLDS) for d in grid["max_depth"] for lr in grid["learning_rate"]]
     rows = [r for rs in parallel_map(one_fit, items, workers=6) for r in rs]
+    for x in [df, *(x for pair in folds.values() for x in pair)]:
+        x.unpersist()
     t = df.sparkSession.createDataFrame(rows, "n_estimators int, max_depth int, learning_rate double, fold int, f2 double")
     g = t.groupBy("n_estimators", "max_depth", "learning_rate").agg(F.avg("f2").alias("mean_f2"),
                                                                     F.stddev_samp("f2").alias("std_f2"))
@@ -167,16 +171,20 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
     """LR on k principal components per fold, tuned threshold; k in sizes plus the 90%-variance count (K9)."""
     from .parallel import parallel_map
     spark = df.sparkSession
+    df = persist_shared(df)
+    parts = max(1, -(-df.count() // cv.FIT_ROWS))
 
     def one_fold(k_fold):
         rows = []
         train = df.filter(F.col("fold") != k_fold)
         val = df.filter(F.col("fold") == k_fold)
         fp = prep.fit(train)
-        tr = fp.transform(train).cache()
-        va = fp.transform(val)
+        tr = fp.transform(train).coalesce(parts).cache()
+        va = fp.transform(val).coalesce(parts)
         dims = len(fp.feature_names())
+        # one decomposition a fold: the first k components of it are the components at size k
         sc_full, pca_full = MD.pca_fit(tr, dims)
+        tr_all, va_all = (MD.pca_transform(x, sc_full, pca_full).select("escalated", "pcs").cache() for x in (tr, va))
         ev = list(pca_full.explainedVariance.toArray())
         cum, n90 = 0.0, dims
         for i, v in enumerate(ev):
@@ -186,9 +194,8 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
                 break
         for label, size in [(f"PCA_{z}", z) for z in sizes] + [("PCA_var90", n90)]:
             kk = min(size, dims)
-            sc, pca = MD.pca_fit(tr, kk)
-            trp = MD.pca_transform(tr, sc, pca).withColumnRenamed("features", "_f").withColumnRenamed("pcs", "features")
-            vap = MD.pca_transform(va, sc, pca).withColumnRenamed("features", "_f").withColumnRenamed("pcs", "features")
+            first = VectorSlicer(inputCol="pcs", outputCol="features", indices=list(range(kk)))
+            trp, vap = (first.transform(x).drop("pcs") for x in (tr_all, va_all))
             spec = MD.reference_models()[0]
             trw = MD.weighted(trp, spec)
             model = spec.fit(trw, float(trw.agg(F.sum("w")).first()[0]))
@@ -196,13 +203,16 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
             thr = curves.best_threshold(s_tr, []).first()["threshold"]
             s_va = MD.positive_probability(model.transform(vap)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
             r = s_va.agg(*M.confusion_aggs()).select(M.f2().alias("f2")).first()
-            rows.append((label, int(size), int(kk), k_fold, float(r["f2"])))
+            rows.append((label, int(size), int(kk), k_fold, float(r["f2"]), float(sum(ev[:kk]))))
+        for x in (tr, tr_all, va_all):
+            x.unpersist()
         return rows
 
     rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
-    t = spark.createDataFrame(rows, "config string, n_components int, used_components int, fold int, f2 double")
+    t = spark.createDataFrame(rows, "config string, n_components int, used_components int, fold int, f2 double, var double")
     return t.groupBy("config").agg(F.avg("n_components").alias("n_components"), F.avg("used_components").alias("used_components"),
-                                   F.avg("f2").alias("f2_mean"), F.stddev_pop("f2").alias("f2_std"))
+                                   F.avg("f2").alias("f2_mean"), F.stddev_pop("f2").alias("f2_std"),
+                                   F.avg("var").alias("variance_explained"))
 
 
 def explained_variance(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
@@ -221,26 +231,33 @@ def explained_variance(df: DataFrame, prep: FE.Preprocessor) -> DataFrame:
     return t.withColumn("n_for_90", F.lit(first90)).withColumn("n_for_95", F.lit(first95))
 
 
-def kmeans_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KMEANS_KS, n_pcs: int = 50, restarts: int = 10) -> DataFrame:
+def kmeans_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KMEANS_KS, n_pcs: int = 50, restarts: int = 10,
+                 score_rows: int | None = None, row_id: str = "case_id") -> DataFrame:
     """K-Means on principal components for each k (best of ``restarts`` seeds): silhouette
-    (squared Euclidean, all rows), escalation-rate range across clusters (K10, K11)."""
+    (squared Euclidean), escalation-rate range across clusters (K10, K11).
+
+    Everything is fitted on all rows; with ``score_rows`` the silhouette is that
+    of a seeded sample of them (J4), counted in ``scored_rows``.
+    """
     fp = prep.fit(df)
     x = fp.transform(df)
     dims = len(fp.feature_names())
     sc, pca = MD.pca_fit(x, min(n_pcs, dims))
-    xp = MD.pca_transform(x, sc, pca).select("escalated", "pcs").cache()
+    xp = MD.pca_transform(x, sc, pca).select(row_id, "escalated", "pcs").cache()
+    scored = xp if score_rows is None else SP.seeded_sample(xp, row_id, score_rows).cache()
+    n_scored = scored.count()
     ev = ClusteringEvaluator(featuresCol="pcs", predictionCol="cluster", distanceMeasure="squaredEuclidean")
     rows = []
     for k in ks:
         model, cost = MD.kmeans_best(xp, k, "pcs", restarts)
         pred = model.transform(xp)
-        sil = ev.evaluate(pred)
+        sil = ev.evaluate(pred if score_rows is None else model.transform(scored))
         rates = pred.groupBy("cluster").agg(F.avg("escalated").alias("r")).agg(F.min("r"), F.max("r")).first()
         rows.append((int(k), float(cost), float(sil), float(rates[0]), float(rates[1])))
     spark = df.sparkSession
     t = spark.createDataFrame(rows, "k int, training_cost double, silhouette_sq_euclidean double, min_rate double, max_rate double")
     w = Window.orderBy(F.col("silhouette_sq_euclidean").desc(), "k")  # one row per k
-    return t.withColumn("rate_range", F.col("max_rate") - F.col("min_rate")).withColumn("rank", F.row_number().over(w))
+    return t.withColumn("scored_rows", F.lit(n_scored).cast("long")).withColumn("rate_range", F.col("max_rate") - F.col("min_rate")).withColumn("rank", F.row_number().over(w))
 
 
 def cluster_profile(df: DataFrame, prep: FE.Preprocessor, k: int, n_pcs: int = 50, restarts: int = 10) -> DataFrame:
@@ -253,14 +270,18 @@ def cluster_profile(df: DataFrame, prep: FE.Preprocessor, k: int, n_pcs: int = 5
     return model.transform(xp).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("escalated").alias("escalation_rate"))
 
 
-def feature_ablation(df: DataFrame, configs: dict[str, FE.Preprocessor], baseline: str = "full") -> DataFrame:
-    """Per preprocessing config: F2 mean / population std, PR-AUC, recall, precision; delta vs baseline."""
+def feature_ablation(df: DataFrame, configs: dict[str, FE.Preprocessor], baseline: str = "full",
+                     metric: str = "f2_tuned") -> DataFrame:
+    """Per preprocessing config: F2 mean / population std, PR-AUC, recall, precision; delta vs baseline.
+
+    ``metric``: the fold F2 that is compared, ``f2_tuned`` or ``f2_default``.
+    """
     spec = MD.reference_models()[0]
     parts = []
     for name, prep in configs.items():
         s = cv.cv_scores(df, [spec], prep)
         fm = cv.cv_fold_metrics(s).withColumn("model", F.lit(name))
-        parts.append(fm)
+        parts.append(fm.withColumn("f2_tuned", F.col(metric)))
     fm = parts[0]
     for p in parts[1:]:
         fm = fm.unionByName(p)
@@ -272,11 +293,17 @@ def feature_ablation(df: DataFrame, configs: dict[str, FE.Preprocessor], baselin
 
 
 def drop_feature_ablation(df: DataFrame, prep: FE.Preprocessor, col: str = "sentiment") -> DataFrame:
-    """F2 with and without one categorical column; verdict at 0.02 / 0.05."""
+    """F2 at the default decision with and without one categorical column.
+
+    Signed rule on what the column adds, full minus without: under 0.02 either
+    way is negligible, only a gain of more than 0.05 substantial, the rest
+    small. The full configuration is the base and has no verdict.
+    """
     without = FE.Preprocessor(prep.text_col, [c for c in prep.cat_cols if c != col], prep.num_cols, prep.spec)
-    t = feature_ablation(df, {"full": prep, f"without_{col}": without})
-    verdict = (F.when(F.abs("delta_vs_baseline") < 0.02, "negligible").when(F.abs("delta_vs_baseline") < 0.05, "small")
-               .otherwise("material"))
+    t = feature_ablation(df, {"full": prep, f"without_{col}": without}, metric="f2_default")
+    gain = -F.col("delta_vs_baseline")
+    verdict = (F.when(F.col("configuration") == "full", F.lit(None).cast("string"))
+               .when(F.abs(gain) < 0.02, "negligible").when(gain > 0.05, "substantial").otherwise("small"))
     return t.withColumn("verdict", verdict)
 
 

@@ -47,16 +47,6 @@ def read_case_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CAS
             .csv(path))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Above the bound the frame is returned as is and the planner (AQE) picks the
-    join strategy from measured sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
                 mode: str = "overwrite") -> None:
     """Result sink (A4/A6): parquet by default, CSV/JSON on request."""

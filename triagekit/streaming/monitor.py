@@ -39,7 +39,11 @@ def daypart(ts) -> F.Column:
 
 
 def score_events(ev: DataFrame, threshold: float = MONITOR_THRESHOLD) -> DataFrame:
-    """Monitored rows: label = error event, score = capped value / 100, decision, segment."""
+    """Monitored rows: label = error event, score, decision, segment.
+
+    The score is defined as min(value, 100) / 100: values above 100 saturate at
+    a score of 1, and no row is dropped.
+    """
     y_prob = F.least(F.col("value"), F.lit(1e2)) / F.lit(1e2)
     return ev.select("event_id", "ts", (F.col("event_type") == "error").cast("int").alias("escalated"),
                      y_prob.alias("y_prob"), (y_prob >= F.lit(threshold)).cast("int").alias("y_pred"),
