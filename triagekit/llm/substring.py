@@ -41,7 +41,7 @@ from .common import (_arrow_schema, as_long, map_rows, may_hold, mix64, powers,
 WINDOW = 50
 GRAM = 20
 SHARD_PASSAGES = 1500     # passages in a shard on average; a passage has some 70 words
-HOT_PASSAGES = 300        # an anchor with more different passages is cut down to shared windows first
+HOT_PASSAGES = 2000       # an anchor with more different passages is cut down to shared windows first
 _BASE = 0xA0761D6478BD642F
 
 
@@ -203,41 +203,43 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     passages = (found.groupBy("anchor", "content", "n")
                 .agg(F.min(F.struct("doc", "first")).alias("at"))
                 .select("anchor", "content", "n", F.col("at.doc").alias("doc"), F.col("at.first").alias("first")))
-    passages = shared(passages)
+    hot = (passages.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > HOT_PASSAGES)
+           .select("anchor", F.lit(True).alias("hot")))
+    passages = shared(passages.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
     n_passages = passages.count()
     shards = max(1, -(-n_passages // SHARD_PASSAGES))
 
     # the passages' words, from the owners' texts
-    asked = passages.groupBy("doc").agg(F.collect_list(F.struct("anchor", "content", "first", "n")).alias("asked"))
+    asked = passages.groupBy("doc").agg(F.collect_list(F.struct("anchor", "content", "first", "n", "hot")).alias("asked"))
 
     def words(doc, text, asked):
-        out = {k: [] for k in ("anchor", "content", "n", "doc", "words")}
+        out = {k: [] for k in ("anchor", "content", "n", "doc", "words", "hot")}
         for d, t, ask in zip(doc.to_pylist(), text.to_pylist(), asked.to_pylist()):
             h = word_hashes(t.encode())[0]
             for a in ask:
                 part = h[a["first"]:a["first"] + a["n"] + window - 1]
                 if content_hash(part, a["n"]) == a["content"]:   # another row of the same id may not have it
                     for k, v in (("anchor", a["anchor"]), ("content", a["content"]), ("n", a["n"]), ("doc", d),
-                                 ("words", part.tobytes())):
+                                 ("words", part.tobytes()), ("hot", a["hot"])):
                         out[k].append(v)
         return out
 
     asked = shared(asked)
     may = may_hold(asked, "doc")
     held = shared(map_rows(src.where(may(F.col("doc"))).join(asked, "doc").select("doc", "text", "asked"), words,
-                           "anchor long, content long, n int, doc long, words binary"))
-    hot = shared(held.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > HOT_PASSAGES).select("anchor"))
-    parts = held.select("anchor", F.col("content").alias("part"), F.col("n").alias("count"), "doc", "words")
-    if hot.isEmpty():
+                           "anchor long, content long, n int, doc long, words binary, hot boolean"))
+    cold = held.where(~F.col("hot"))
+    parts = cold.select("anchor", F.col("content").alias("part"), F.col("n").alias("count"), "doc", "words")
+    if passages.where("hot").isEmpty():
         owners = _owners(parts, shards, window).select(
             "anchor", F.col("part").alias("content"), F.col("count").alias("n"), "first", "windows", "owner")
     else:
         # anchors with very many passages: only stretches that two passages share go to an automaton, once each
-        cut = shared(_stretches(held.join(hot, "anchor"), window))
-        parts = parts.join(hot, "anchor", "left_anti").unionByName(
+        cut = shared(_stretches(held.where("hot"), window))
+        parts = parts.unionByName(
             cut.where("words is not null").groupBy("anchor", "part", "count")
             .agg(F.min(F.struct("doc", "words")).alias("x")).select("anchor", "part", "count", "x.doc", "x.words"))
-        whole = held.join(hot, "anchor", "left_anti").select(
+        whole = cold.select(
             "anchor", "content", "n", F.lit(0).alias("shift"), F.col("content").alias("part"), F.col("n").alias("count"))
         place = whole.unionByName(cut.where("words is not null").select(*whole.columns))
         owners = (place.join(_owners(parts, shards, window), ["anchor", "part", "count"])
