@@ -12,15 +12,16 @@ share that many under each order, and pairs are verified only after the filters:
 3. First order: the prefix tokens meet by token. A node goes on only if enough
    of its prefix tokens are in other nodes' prefixes too. Common tokens need no
    counting, so no frequent key is shuffled for it.
-4. Star rounds: in each token's group all nodes are paired with one hub, then
-   with another; verified links make components. Pairs inside a component need
-   no proof any more, so a group of near copies costs one pair a member.
-5. Every remaining pair of nodes of different components that share enough
-   prefix tokens becomes a candidate.
-6. Candidates of 4 and 5 pass the size filter, then the prefixes of the second
-   order (native array intersection), then exact intersection.
+4. The nodes of each token join the cluster of the token's hub, so that two
+   candidates are in one cluster. Hub and member pairs pass the size filter, then
+   the prefixes of the second order (native array intersection), then exact
+   intersection; links make components.
+5. A cluster that holds several components is compared in blocks of bounded
+   size, a task counting the common tokens of all pairs of two blocks at once.
+   Pairs are never rows, and a group of near copies that its hub links needs no
+   further proof.
 
-No pair that meets the threshold across components is ever dropped.
+No pair that meets the threshold is left unproven across components.
 
 Nulls: a null text, or one without words, has no shingles and links with
 nothing. Rows with a null id link with nothing and have a null component. Rows
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import (_arrow_schema, as_long, bound_batches, components, map_rows, may_hold, mix64, shared, window_hashes,
                      word_hashes)
+from .grid_join import local_components
 
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 3, 4      # threshold 0.75, in whole numbers
@@ -48,7 +50,8 @@ COMMON_TOKENS = 200_000
 SUMMARY_ROWS = 20_000              # tokens in one task's summary
 SUMMARY_LEAST = 4                  # occurrences within a task that make a token worth reporting
 SUMMARY_HELD = 4_000_000           # tokens a task holds before it condenses
-STAR_ROUNDS = 2
+CLUSTER_BLOCK = 1024               # nodes in a block of a cluster
+SHARD_ROWS = 4000                  # rows that a task compares, unless one pair of blocks has more
 
 
 def shingles(text: str | None, n: int = SHINGLE) -> np.ndarray:
@@ -172,6 +175,68 @@ def _labels(rows: DataFrame, links: DataFrame) -> DataFrame:
             .withColumn("part", F.coalesce("part", "node")))
 
 
+def block_links(own: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of similar sets of a block pair; ``own`` tells the two blocks apart (one block: all pairs)."""
+    size = np.array([len(s) for s in sets])
+    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, row = flat[order], row[order]
+    token = np.cumsum(np.concatenate([[0], flat[1:] != flat[:-1]]))
+    several = np.bincount(token)[token] > 1            # tokens of one set alone add nothing
+    token, row = np.unique(token[several], return_inverse=True)[1], row[several]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for begin in range(0, int(token[-1]) + 1 if len(token) else 0, 2048):
+        at = slice(*np.searchsorted(token, [begin, begin + 2048]))
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[row[at], token[at] - begin] = 1
+        common += part @ part.T
+    both = size[:, None] + size[None, :]
+    linked = np.triu(common * DENOMINATOR >= (both - common) * NUMERATOR, 1)
+    if own.min() != own.max():
+        linked &= own[:, None] != own[None, :]
+    return np.nonzero(linked)
+
+
+def _cluster_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join the components of a cluster. members: ``hub, node, part``.
+
+    Clusters of one component are done. The others are cut into blocks of
+    bounded size; a task counts the common tokens of all pairs of two blocks at
+    once and returns one link a node, never the pairs.
+    """
+    mixed = (members.groupBy("hub").agg(F.count("*").alias("m"), F.min("part").alias("lo"), F.max("part").alias("hi"))
+             .where("lo <> hi").select("hub", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks")))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (members.select("hub", "node").join(mixed, "hub").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("hub", "node", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
+    dealt = shared(dealt)
+    shards = max(1, dealt.count() // SHARD_ROWS)
+    schema = "a long, b long"
+    target = _arrow_schema(members.sparkSession, schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        keys = np.stack([table[c].to_numpy().astype(np.int64) for c in ("hub", "i", "j")])
+        node, own_block, tokens = table["node"].to_numpy(), table["own"].to_numpy(), table["tokens"].combine_chunks()
+        flat, offset = tokens.values.to_numpy(), tokens.offsets.to_numpy()
+        order = np.lexsort(keys)
+        cut = np.flatnonzero(np.any(keys[:, order][:, 1:] != keys[:, order][:, :-1], axis=0)) + 1
+        a, b = [], []
+        for at in np.split(order, cut):
+            if len(at) > 1:
+                i, j = block_links(own_block[at], [flat[offset[k]:offset[k + 1]] for k in at.tolist()])
+                root = local_components(len(at), i, j)
+                far = np.flatnonzero(root != np.arange(len(at)))
+                a.append(node[at][far])
+                b.append(node[at][root[far]])
+        empty = np.empty(0, np.int64)
+        return pa.table({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])}, schema=target)
+
+    return (dealt.join(sets.select("node", "tokens"), "node")
+            .groupBy(F.pmod(F.xxhash64("hub", "i", "j"), F.lit(shards)).alias("shard"))
+            .applyInArrow(lambda key, table: run(table), schema))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row; documents of similarity >= 0.75 link."""
     spark = docs.sparkSession
@@ -228,25 +293,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "node long, size long, tokens array<long>, second array<long>")
     sets = shared(sets)
 
-    links = spark.createDataFrame([], "a long, b long")
-    for k in range(STAR_ROUNDS):
-        part = _labels(rows, links) if k else rows.withColumn("part", F.col("node"))
-        # first the smallest document, most likely what the others were copied from; then any other one
-        lead = F.min(F.struct((F.xxhash64("node") if k else F.col("rep")).alias("h"), "node", "size", "part"))
-        hub = part.groupBy("token").agg(lead.alias("hub")).select(
-            "token", F.col("hub.node").alias("a"), F.col("hub.size").alias("size_a"), F.col("hub.part").alias("part_a"))
-        pairs = (part.join(hub, "token").where((F.col("part") != F.col("part_a")) & _possible(F.col("size"), F.col("size_a")))
-                 .select("a", F.col("node").alias("b")).distinct())
-        links = shared(links.unionByName(_verified(pairs, sets)))
-    part = shared(_labels(rows, links))
-    mixed = part.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select("token")
-    part = part.join(mixed, "token", "left_semi")
-    other = part.select("token", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b"))
-    pairs = (part.withColumnRenamed("node", "a").join(other, "token")
-             .where((F.col("a") < F.col("b")) & (F.col("part") != F.col("part_b")) & _possible(F.col("size"), F.col("size_b")))
-             .groupBy("a", "b").agg(F.count("*").alias("c"), F.min("size").alias("size_a"), F.min("size_b").alias("size_b"))
-             .where(F.col("c") >= F.least(_needed(F.col("size_a")), _needed(F.col("size_b")))).select("a", "b"))
-    links = shared(links.unionByName(_verified(pairs, sets)))
+    # clusters: every token's nodes go to the cluster of the token's hub, the node of the smallest document
+    hub = rows.groupBy("token").agg(F.min(F.struct("rep", "node", "size")).alias("hub")).select(
+        "token", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
+    members = shared(rows.join(hub, "token").select("hub", "hub_size", "node", "size").distinct())
+    star = (members.where((F.col("hub") != F.col("node")) & _possible(F.col("size"), F.col("hub_size")))
+            .select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    links = shared(_verified(star, sets))
+    links = links.unionByName(shared(_cluster_links(_labels(members, links), sets)))
 
     # nodes' smallest documents carry the links; rows of one id, or of one set, meet in them
     rep = sizes.select("node", "rep")
