@@ -76,16 +76,15 @@ def corpus(seed, n=60, passage=70):
     return rows + [(8_100_000, None), (8_100_001, ""), (None, rows[3][1]), (rows[5][0], rows[5][1])]
 
 
-@pytest.mark.parametrize("hot", [10**9, 1])
-def test_substrings_equal_brute_force(documents, monkeypatch, hot):
+@pytest.mark.parametrize("hot, window, gram", [(10**9, 50, 20), (1, 12, 5)])
+def test_substrings_equal_brute_force(documents, monkeypatch, hot, window, gram):
     monkeypatch.setattr(substring, "HOT_PASSAGES", hot)
     monkeypatch.setattr(substring, "SHARD_PASSAGES", 20)
     rows = corpus(1)
-    for window, gram in ((50, 20), (12, 5)):
-        got = substring.remove_repeats(documents(rows), window=window, gram=gram).collect()
-        got = sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=lambda x: (x[0] is None, x))
-        assert got == brute_removal(rows, window)
-        assert sum(x[2] for x in got) > 500
+    got = substring.remove_repeats(documents(rows), window=window, gram=gram).collect()
+    got = sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=lambda x: (x[0] is None, x))
+    assert got == brute_removal(rows, window)
+    assert sum(x[2] for x in got) > 500
 
 
 def test_substrings_of_rows_that_share_an_id(documents):
@@ -125,9 +124,10 @@ def near_copies(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_ngram_join_equals_brute_force(documents, seed, monkeypatch):
+@pytest.mark.parametrize("seed, block", [(1, 1024), (2, 3)])
+def test_ngram_join_equals_brute_force(documents, seed, block, monkeypatch):
     monkeypatch.setattr(ngram_join, "SUMMARY_LEAST", 2)
+    monkeypatch.setattr(ngram_join, "CLUSTER_BLOCK", block)
     rows = near_copies(seed) + [(2000, None), (2001, ""), (2002, "one two"), (2003, "ONE two"), (2004, "One Two three"),
                                 (None, "one two"), (2005, "x " * 300), (2006, "x " * 30)]
     rows.append(rows[0])
