@@ -50,7 +50,7 @@ COMMON_TOKENS = 200_000
 SUMMARY_ROWS = 20_000              # tokens in one task's summary
 SUMMARY_LEAST = 4                  # occurrences within a task that make a token worth reporting
 SUMMARY_HELD = 4_000_000           # tokens a task holds before it condenses
-CLUSTER_BLOCK = 1024               # nodes in a block of a cluster
+CLUSTER_BLOCK = 2048               # nodes in a block of a cluster
 SHARD_ROWS = 4000                  # rows that a task compares, unless one pair of blocks has more
 
 
@@ -184,17 +184,25 @@ def block_links(own: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np
     token = np.cumsum(np.concatenate([[0], flat[1:] != flat[:-1]]))
     several = np.bincount(token)[token] > 1            # tokens of one set alone add nothing
     token, row = np.unique(token[several], return_inverse=True)[1], row[several]
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    for begin in range(0, int(token[-1]) + 1 if len(token) else 0, 2048):
-        at = slice(*np.searchsorted(token, [begin, begin + 2048]))
-        part = np.zeros((len(sets), 2048), np.float32)
+    exact = np.float32 if size.max() < 1 << 20 else np.float64   # whole numbers stay whole
+    common = np.zeros((len(sets), len(sets)), exact)
+    for begin in range(0, int(token[-1]) + 1 if len(token) else 0, 1024):
+        at = slice(*np.searchsorted(token, [begin, begin + 1024]))
+        part = np.zeros((len(sets), 1024), exact)
         part[row[at], token[at] - begin] = 1
         common += part @ part.T
-    both = size[:, None] + size[None, :]
-    linked = np.triu(common * DENOMINATOR >= (both - common) * NUMERATOR, 1)
-    if own.min() != own.max():
-        linked &= own[:, None] != own[None, :]
-    return np.nonzero(linked)
+    # common / (both - common) >= 3 / 4, in whole numbers and a stretch of rows at a time
+    share, two, left, right = size * exact(NUMERATOR), own.min() != own.max(), [], []
+    for begin in range(0, len(sets), 256):
+        end = min(begin + 256, len(sets))
+        linked = common[begin:end] * (NUMERATOR + DENOMINATOR) >= share[begin:end, None] + share[None, :]
+        linked &= np.arange(begin, end)[:, None] < np.arange(len(sets))[None, :]
+        if two:
+            linked &= own[begin:end, None] != own[None, :]
+        i, j = np.nonzero(linked)
+        left.append(i + begin)
+        right.append(j)
+    return np.concatenate(left), np.concatenate(right)
 
 
 def _cluster_links(members: DataFrame, sets: DataFrame) -> DataFrame:
