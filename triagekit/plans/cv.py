@@ -51,7 +51,7 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
         val = df.filter(F.col(fold) == k)
         fp = prep.fit(train)
         tr, va = (fp.transform(x).select(F.col(row_id).cast("string").alias(row_id), label, "features")
-                  .coalesce(parts_of_fit).cache() for x in (train, val))
+                  .repartition(parts_of_fit).cache() for x in (train, val))
         return k, fp, tr, va
 
     prepared = parallel_map(prepare_fold, range(n_folds))

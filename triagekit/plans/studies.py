@@ -101,8 +101,8 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
         train = df.filter(F.col("fold") != k)
         val = df.filter(F.col("fold") == k)
         fp = prep.fit(train)
-        tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).coalesce(parts).cache()
-        va = fp.transform(val).select(label, "features").coalesce(parts).cache()
+        tr = MD.pos_weight(fp.transform(train).select(label, "features"), label).repartition(parts).cache()
+        va = fp.transform(val).select(label, "features").repartition(parts).cache()
         tr.count()
         va.count()
         return tr, va
@@ -179,8 +179,8 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
         train = df.filter(F.col("fold") != k_fold)
         val = df.filter(F.col("fold") == k_fold)
         fp = prep.fit(train)
-        tr = fp.transform(train).coalesce(parts).cache()
-        va = fp.transform(val).coalesce(parts)
+        tr = fp.transform(train).repartition(parts).cache()
+        va = fp.transform(val).repartition(parts)
         dims = len(fp.feature_names())
         # one decomposition a fold: the first k components of it are the components at size k
         sc_full, pca_full = MD.pca_fit(tr, dims)
