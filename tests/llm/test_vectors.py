@@ -75,6 +75,32 @@ def test_search_splits_a_hot_bucket(vectors, monkeypatch):
     assert sorted(r.vec_id for r in got if r.query_id == 50) == [0, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("several", [False, True])   # copies of one row, or several vectors of one id
+@pytest.mark.parametrize("sign", [1.0, -1.0])        # found in the query's bucket, or only by the comparison with all rows
+def test_search_counts_ids_and_not_rows(vectors, sign, several):
+    near = [(1, [sign, 0.9 + 0.001 * i * several, 0.0, 0.0]) for i in range(6)]
+    far = [(i, [sign, 0.01 * i if sign > 0 else 0.85 - 0.01 * i, 0.01, 0.0]) for i in range(2, 22)]
+    if sign > 0:
+        near = [(1, [v[0], v[1] - 0.9, 0.0, 0.0]) for _, v in near]
+    rows = [(0, [1.0, 0.0, 0.0, 0.0])] + near + far
+    got = ann.search(vectors(rows), F.col("vec_id") == 0, tables=1, probes=1).orderBy("rank").collect()
+    s = cosines(np.array([v for _, v in rows], "f4"))[0]
+    best = {}
+    for (i, _), c in zip(rows[1:], s[1:]):
+        best[i] = max(c, best.get(i, -2))
+    want = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5]
+    assert [r.vec_id for r in got] == [i for i, _ in want] == [1, 2, 3, 4, 5]
+    assert np.allclose([r.score for r in got], [c for _, c in want], atol=1e-12)
+
+
+def test_best_of_a_block_fills_k_past_repeated_ids():
+    ids = np.array([1] * 6 + list(range(2, 22)))
+    x = np.array([[1.0, 0.0]] * 6 + [[1.0, 0.01 * i] for i in range(2, 22)])
+    for rows in (np.arange(26), np.arange(26)[::-1]):
+        _, found, _ = ann._best(ids[rows], x[rows], np.array([0]), np.array([[1.0, 0.0]]), 5)
+        assert found == [1, 2, 3, 4, 5]
+
+
 def brute_links(rows, least):
     ok = [(i, np.array(v, "f8")) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     ok = list({(i, v.tobytes()): (i, v) for i, v in ok}.values())

@@ -6,13 +6,14 @@ two) and files it under the nearest signed axis. A query probes in each table
 the ``probes`` axes nearest to its turned self. A bucket's vectors are dealt to
 blocks by their counted number and a bucket's queries likewise, so a bucket that
 holds a third of all rows becomes many tasks; each block returns every query's
-best few by exact cosine (double precision, original vectors), and these are
+best few ids by exact cosine (double precision, original vectors), and these are
 merged. Queries that found fewer than ``k`` are compared with all rows, in
 blocks. Every row is in the index.
 
 Nulls: vectors that are null, empty, zero or hold null or non-finite components,
 and rows with a null id, take no part. Vectors of different dimensions are not
-compared. Rows that repeat an id count once in a result. Only the named columns
+compared. Repeated rows are indexed once; an id with several vectors counts once
+in a result, by its best one. Only the named columns
 are read.
 """
 
@@ -64,14 +65,18 @@ def axes(turned: np.ndarray, n: int) -> np.ndarray:
 
 
 def _best(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int):
-    """(query id, id, cosine) of each query's ``k`` best rows, ties to the smaller id; never its own id."""
-    xs, qs = scaled(x), scaled(q)
+    """(query id, id, cosine) of each query's ``k`` best distinct ids by their best rows, ties to the smaller id; never
+    its own id."""
+    order = np.argsort(ids, kind="stable")
+    ids, xs, qs = ids[order], scaled(x[order]), scaled(q)
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))   # where the rows of an id begin
     out: tuple[list, list, list] = ([], [], [])
     for begin in range(0, len(qids), 256):
         score = qs[begin:begin + 256] @ xs.T
         score[qids[begin:begin + 256, None] == ids[None]] = -2.0
+        top = score if len(first) == len(ids) else np.maximum.reduceat(score, first, axis=1)
         for i, row in enumerate(score):
-            least = np.partition(row, -k)[-k] if len(row) > k else -1.5
+            least = np.partition(top[i], -k)[-k] if len(first) > k else -1.5
             at = np.flatnonzero(row >= max(least - SLACK, -1.5))
             exact = np.minimum(1.0, np.maximum(-1.0, np.einsum("ij,j->i", xs[at], qs[begin + i])))
             order = np.lexsort((ids[at], -exact))
@@ -120,8 +125,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
            tables: int = TABLES, probes: int = PROBES) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row where ``is_query`` holds
     (a condition on the column ``vec_id``)."""
-    vecs = shared(packed(vectors, id_col, vector_col).withColumn("vec_id", F.col("vec_id").cast("long")))
-    wanted = vecs.where(is_query).dropDuplicates(["vec_id", "v"])
+    vecs = shared(packed(vectors, id_col, vector_col).withColumn("vec_id", F.col("vec_id").cast("long"))
+                  .dropDuplicates(["vec_id", "v"]))
+    wanted = vecs.where(is_query)
 
     def index(n_probes):
         def run(ids, dim, v):
