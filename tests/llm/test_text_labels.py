@@ -185,6 +185,41 @@ def test_contexts_discover_unseen_identifiers(documents):
     assert all(len(got[i]) == 1 for i in range(60))
 
 
+def test_contexts_discover_other_shapes(documents):
+    """Values of shapes that no seed has: national numbers, a spaced card, an address without a dot."""
+    rng = random.Random(5)
+
+    def luhn_card():
+        while True:
+            x = "4" + "".join(rng.choice("0123456789") for _ in range(15))
+            if pii.luhn(x):
+                return x
+
+    rows = [(i, f"please call +1 408-555-{7000 + i} today") for i in range(40)]
+    rows += [(100 + i, f"they mail bob{i}@x{i}.org about it") for i in range(40)]
+    rows += [(200 + i, f"we charge card number {luhn_card()} then") for i in range(40)]
+    rows += [(300 + i, f"in year {1980 + i} order number {10**9 + i} was sent") for i in range(30)]
+    text = {400: "please call 408-555-7800 today", 401: "please call (408) 555-7801 today.", 402: "they mail bob@localhost about it",
+            403: "we charge card number 4539 5787 6362 1487 then", 404: "please call 1985 today", 405: "order number 1000000099 was sent"}
+    want = {400: "408-555-7800", 401: "(408) 555-7801", 402: "bob@localhost", 403: "4539 5787 6362 1487"}
+    got = {r.doc_id: r for r in pii.find(documents(rows + list(text.items()))).collect()}
+    for i, t in text.items():
+        assert [t[x["start"]:x["end"]] for x in got[i].spans] == ([want[i]] if i in want else []), t
+    assert [got[i].spans[0]["kind"] for i in sorted(want)] == [3, 3, 0, 2]
+    assert all(len(got[i].spans) == (i < 300) for i, _ in rows)
+
+
+def test_numbers_of_several_words():
+    def found(text):
+        return [text[b:e] for b, e in pii.numbers(text, sorted((s, e, k) for s, k, e in pii.base_spans(text)))]
+    assert found("at (408) 555-7800. tel:408 555 - 7801, (or 408.555.7802) 12 x7 v1.2.3 4539 5787 6362 1487\n99") == [
+        "(408) 555-7800", "408 555 - 7801", "408.555.7802", "4539 5787 6362 1487"]
+    assert found("+1 408-555-7800 and 4111111111111111") == [] and found("12345678ab 123456") == []
+    assert found("1234567890 1234567890 1234567890") == ["1234567890", "1234567890"]
+    for text in ("1 " * 200_000, "1)" * 200_000, "1." * 200_000 + "a", "(" * 200_000 + "1234567" + ")" * 200_000):
+        pii.instances(text, pii.base_spans(text))
+
+
 def test_redaction_and_repeated_rows(documents):
     rows = [(1, "mail x@y.org or x@y.org now 🙂 +1 (408) 555-7800."), (1, "mail x@y.org or x@y.org now 🙂 +1 (408) 555-7800."),
             (2, "nothing"), (3, None), (None, "a@b.cd")]
