@@ -209,6 +209,32 @@ def test_contexts_discover_other_shapes(documents):
     assert all(len(got[i].spans) == (i < 300) for i, _ in rows)
 
 
+def test_bootstrap_follows_long_chains_of_contexts(documents):
+    """Each group of numbers is known only after the group before it."""
+    def number(i, j):
+        return next(x for x in (str(4 * 10**15 + i * 10**6 + j * 100 + d) for d in range(100)) if pii.luhn(x) == (i == 0))
+
+    depth, rows = 5, []
+    for i in range(depth):
+        for j in range(5):
+            for value in [number(i, k) for k in range(20)] + [number(i + 1, k) for k in range(4 * j, 4 * j + 4)]:
+                rows.append((i + 1, f"a{i}x{j}e b{i}x{j}e {value} c{i}x{j}e d{i}x{j}e"))
+    got = pii.find(documents(rows)).collect()
+    assert all(r.spans and r.spans[0]["kind"] == 2 for r in got) and len(got) == 120 * depth
+    extracted = pii.extract(documents(rows[:120]))
+    with pytest.raises(RuntimeError):
+        pii.bootstrap(extracted, rounds=1)
+
+
+def test_long_values_and_words_are_told_apart(documents):
+    rows = [(i, f"they mail bob{i}@x{i}.org about it") for i in range(40)]
+    long = "y" * 300
+    rows += [(100, f"they mail {long}1@localhost about it"), (101, f"see {long}2@localhost or not")]
+    got = {r.doc_id: len(r.spans) for r in pii.find(documents(rows)).collect()}
+    assert got[100] == 1 and got[101] == 0
+    assert len({tuple(pii.instances(f"{long}{i} 1234567", [])[0][-1]) for i in "ab"}) == 2
+
+
 def test_numbers_of_several_words():
     def found(text):
         return [text[b:e] for b, e in pii.numbers(text, sorted((s, e, k) for s, k, e in pii.base_spans(text)))]

@@ -15,6 +15,7 @@ instance's is the noisy-or over contexts of its most confident patterns. A token
 inside a longer number does not count against a pattern, and of added spans
 within one another the longest stays. What passes joins the known
 instances of the next round, and its occurrences are added as spans of the kind.
+The rounds end when nothing new passes.
 
 The text is read once; base spans and instances go to the shared folder, the
 graph has only rows for identifier-like tokens, and both sides of it are
@@ -28,6 +29,8 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from functools import cache
+from hashlib import blake2b
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,9 +42,11 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_SUPPORT = 3
 PATTERN_CONFIDENCE = 0.8
 INSTANCE_CONFIDENCE = 0.95
-ROUNDS = 4
-#: Context words and instances are cut to this many characters in the graph.
-WORD_CHARS = 32
+#: Rounds after which an error is raised; each adds instances, so they end by themselves.
+ROUNDS = 200
+#: Longer context words, shapes and values are replaced by their hash in the graph; of what is glued to a value, its
+#: last so many characters are a context word.
+WORD_CHARS, VALUE_CHARS = 32, 256
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -98,10 +103,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def key(value: str, chars: int) -> str:
+    """The value, or a hash of the whole of it if it is longer than ``chars``."""
+    return value if len(value) <= chars else f"#{blake2b(value.encode(), digest_size=16).hexdigest()}"
+
+
 def shape(value: str) -> str:
     """Character classes of a value: runs of digits with their length, runs of letters without."""
-    out = re.sub("[0-9]+", lambda m: f"9{{{min(len(m[0]), 20)}}}", re.sub(r"[^\W\d_]+", "a", value[:WORD_CHARS]))
-    return out if len(value) <= WORD_CHARS else out + "~"
+    return key(re.sub("[0-9]+", lambda m: f"9{{{min(len(m[0]), 20)}}}", re.sub(r"[^\W\d_]+", "a", value)), WORD_CHARS)
 
 
 def coarse(value: str) -> str:
@@ -193,8 +202,9 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
             found += [(x, f, None, True, i, i + 1) for x in glue if text[x] != "@"]
     found += [(b, f, None, True, i, right) for (b, f), (i, right) in runs.items()]
 
+    @cache
     def word(j: int) -> str:
-        return text[words[j][0]:words[j][1]].strip(_EDGE).lower()[:WORD_CHARS] if 0 <= j < len(words) else ""
+        return key(text[words[j][0]:words[j][1]].strip(_EDGE).lower(), WORD_CHARS) if 0 <= j < len(words) else ""
 
     out = []
     for b, e, kind, main, i, right in found:
@@ -206,7 +216,7 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
         if group := coarse(value):
             after = f"4 {word(right)} {word(right + 1)}"
             patterns += [f"{c}\t<{group}>" for c in (*around, after) if c[1:].strip()]
-        out.append((b, e, kind, main, value[:256], patterns))
+        out.append((b, e, kind, main, key(value, VALUE_CHARS), patterns))
     return out
 
 
@@ -259,6 +269,8 @@ def bootstrap(extracted: DataFrame, rounds: int = ROUNDS, support: int = MIN_SUP
         if new.isEmpty():
             break
         known = known.unionByName(new)
+    else:
+        raise RuntimeError("the bootstrap did not settle")
     return known.where("not seed").drop("seed")
 
 
