@@ -255,3 +255,15 @@ def test_redaction_and_repeated_rows(documents):
         (2, "nothing"), (3, "")]
     assert pii.redact(documents([])).columns == ["doc_id", "text", "length"]
     assert pii.find(documents([])).count() == 0
+
+
+def test_long_words_are_labelled_whole(spark):
+    model = langid.fit([("aa", ["alpha", "beta", "gamma"] * 8), ("bb", ["uno", "due", "tre"] * 8)])
+    ends, middle = "alphabetagamma" * 3, "unoduetre" * 30
+    assert "".join(langid.pieces(ends + middle)) == ends + middle and langid.pieces("short-ish") == ["shortish"]
+    assert langid.pieces("--12--") == [] and max(len(p.encode()) for p in langid.pieces("文" * 999)) <= langid.MAX_WORD_BYTES
+    docs = spark.createDataFrame([(1, ends + middle + ends), (2, ends * 8), (3, "alpha " + middle + " beta")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert got == {1: "bb", 2: "aa", 3: "bb"}
+    labels = {r.doc_id: r.labels for r in langid.label_words(docs, model).collect()}
+    assert len(labels[3]) == 2 + len(langid.pieces(middle))

@@ -19,8 +19,17 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def map_rows(df: DataFrame, fn: Callable[..., dict], schema: str) -> DataFrame:
-    """``fn(columns of one batch) -> {column: values}`` over Arrow batches, inside the tasks."""
+def give_back() -> None:
+    """Return what a task has freed to the system; workers are reused and would keep it for the stages that follow."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_rows(df: DataFrame, fn: Callable[..., dict], schema: str, done: Callable[[], None] | None = None) -> DataFrame:
+    """``fn(columns of one batch) -> {column: values}`` over Arrow batches, inside the tasks; ``done()`` ends a task."""
     bound_batches(df.sparkSession)
     target = _arrow_schema(df.sparkSession, schema)
 
@@ -30,6 +39,10 @@ def map_rows(df: DataFrame, fn: Callable[..., dict], schema: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, out[f.name]) for f in target)],
                 schema=target)
+        if done is not None:
+            done()
+        out = None
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -142,6 +155,27 @@ def shared(df: DataFrame, parts: int | None = None) -> DataFrame:
     return cut_lineage(df if parts is None else df.coalesce(parts))
 
 
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` as a Parquet table in the shared checkpoint folder, and the table's path for ``remove``."""
+    from uuid import uuid4
+
+    from ..session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables that have no reader left, and let Spark drop shuffle files that nothing refers to."""
+    import gc
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    gc.collect()
+    jvm.System.gc()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of undirected links.
 

@@ -7,8 +7,10 @@ of neighbouring words are learned with the feature weights on code-switched
 sequences that join runs of words of differently labelled documents, by gradient
 steps on the conditional likelihood. Prediction runs forward-backward exactly:
 a long text is cut into blocks whose transfer matrices carry the messages
-across, so that all blocks of a batch advance together. A document's language is
-the label with the largest mean posterior over its words.
+across, so that all blocks of a batch advance together. A run of letters of more
+than ``MAX_WORD_BYTES`` bytes (glued words, text without spaces) is cut into pieces
+that are labelled one by one. A document's language is the label with the largest
+mean posterior over its words.
 
 Fitting reads a bounded sample of labelled rows (``SAMPLE_DOCS`` documents a
 language, one run of at most ``RUN_WORDS`` words of each, chosen by hash);
@@ -37,10 +39,11 @@ RUN_WORDS = 48
 LEXICON_WORDS = 150
 BUCKETS = 1 << 16
 MAX_NGRAM = 5
-MAX_WORD_BYTES = 64      # a longer word is represented by its first and last bytes
+MAX_WORD_BYTES = 64      # a longer word is labelled in consecutive pieces
+PIECE_CHARS = 16         # characters of such a piece
 EPOCHS = 6
 BLOCK = 128              # words in a block of forward-backward
-CACHE_WORDS = 400_000    # words a worker remembers
+CACHE_WORDS = 200_000    # words that a task remembers
 UNDETERMINED = "und"
 
 
@@ -66,14 +69,17 @@ def normal(word: str) -> str:
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
 
 
+def pieces(word: str) -> list[str]:
+    """What is labelled of a word: its letters, in one piece if they are few, none if it has no letter."""
+    plain = normal(word)
+    if len(plain) <= PIECE_CHARS or len(plain.encode()) <= MAX_WORD_BYTES:
+        return [plain] if plain else []
+    return [plain[i:i + PIECE_CHARS] for i in range(0, len(plain), PIECE_CHARS)]
+
+
 def _bytes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all words between boundary marks, first byte and size of each."""
-    raw = []
-    for w in words:
-        b = w.encode()
-        if len(b) > MAX_WORD_BYTES:
-            b = b[:MAX_WORD_BYTES // 2] + b[-MAX_WORD_BYTES // 2:]
-        raw.append(b"\x02" + b + b"\x03")
+    raw = [b"\x02" + w.encode() + b"\x03" for w in words]
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
     size = np.fromiter(map(len, raw), np.int64, len(raw))
     return data, np.cumsum(size) - size, size
@@ -207,7 +213,7 @@ def sample(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def cut(lang, rank, text):
         out = []
         for r, t in zip(rank.to_pylist(), text.to_pylist()):
-            words = [w for w in map(normal, t.split()) if w]
+            words = [p for w in t.split() for p in pieces(w)]
             at = r % max(1, len(words) - run_words + 1)
             out.append(words[at:at + run_words])
         return {"lang": lang, "rank": rank, "words": out}
@@ -315,27 +321,32 @@ def _pair_posteriors(emission, sizes, transition, prev, nxt) -> np.ndarray:
     return (pair / pair.sum((1, 2), keepdims=True)).sum(0)
 
 
-_CACHE: dict[str, tuple[dict[str, int], list[np.ndarray]]] = {}
+_CACHE: dict[str, tuple[dict[str, int], list[list[int]], np.ndarray]] = {}
 
 
-def _word_rows(model: Model, docs: list[list[str]]) -> tuple[dict[str, int], np.ndarray]:
-    """Row of each word of a batch in a table of label scores; -1 for words without a letter."""
-    key = model.name
-    rows, tables = _CACHE.get(key) or ({}, [np.zeros((0, len(model.labels)))])
+def _word_rows(model: Model, docs: list[list[str]]) -> tuple[dict[str, int], list[list[int]], np.ndarray]:
+    """Row of each word of a batch in a table of label scores: -1 for words without a letter; a word of several pieces
+    has -2 - i, the place of its rows in the list that follows."""
+    nothing = {}, [], np.zeros((0, len(model.labels)))
+    rows, long, table = _CACHE.get(model.name) or nothing
+    _CACHE.clear()
     if len(rows) > CACHE_WORDS:
-        rows, tables = {}, [np.zeros((0, len(model.labels)))]
+        rows, long, table = nothing
     new = list({w for ws in docs for w in ws if w not in rows})
     if new:
-        plain = [normal(w) for w in new]
-        known = [p for p in plain if p]
-        at, base = 0, len(tables[0])
-        for w, p in zip(new, plain):
-            rows[w] = base + at if p else -1
-            at += bool(p)
-        tables[0] = np.concatenate([tables[0], emissions(model, known)])
-    _CACHE.clear()
-    _CACHE[key] = (rows, tables)
-    return rows, tables[0]
+        known: list[str] = []
+        for w in new:
+            parts, at = pieces(w), len(table) + len(known)
+            if len(parts) > 1:
+                rows[w] = -2 - len(long)
+                long.append(list(range(at, at + len(parts))))
+            else:
+                rows[w] = at if parts else -1
+            known += parts
+        table = np.concatenate([table, emissions(model, known)])
+    if len(rows) <= CACHE_WORDS:
+        _CACHE[model.name] = rows, long, table
+    return rows, long, table
 
 
 #: Words that forward-backward holds at once.
@@ -343,9 +354,9 @@ GROUP_WORDS = 200_000
 
 
 def word_labels(model: Model, texts: list[str | None]):
-    """For each text the posteriors of its words with a letter (words x labels); yields (index, posteriors)."""
+    """For each text the posteriors of its words with a letter, or of their pieces (words x labels); yields (index, posteriors)."""
     docs = [t.split() if t else [] for t in texts]
-    rows, table = _word_rows(model, docs)
+    rows, long, table = _word_rows(model, docs)
     group: list[tuple[int, np.ndarray]] = []
     held = 0
 
@@ -357,6 +368,8 @@ def word_labels(model: Model, texts: list[str | None]):
 
     for i, ws in enumerate(docs):
         at = np.fromiter(map(rows.__getitem__, ws), np.int64, len(ws))
+        if len(at) and at.min() < -1:
+            at = np.concatenate([long[-2 - r] if r < -1 else [r] for r in at.tolist()]).astype(np.int64)
         at = at[at >= 0]
         if len(at):
             group.append((i, at))
@@ -389,11 +402,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         return {"doc_id": doc, "lang_pred": lang, "score": score} | dict(zip(names, rest))
 
     return map_rows(src, run, f"doc_id {types['doc_id']}, lang_pred string, score double"
-                    + "".join(f", {c} {types[c]}" for c in names))
+                    + "".join(f", {c} {types[c]}" for c in names), done=_CACHE.clear)
 
 
 def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, labels``: the most probable language of each word that has a letter, in order."""
+    """``doc_id, labels``: the most probable language of each word that has a letter (of each piece of a very long one), in order."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     id_type = dict(docs.dtypes)[id_col]
 
@@ -405,4 +418,4 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         return {"doc_id": doc, "labels": out}
 
     return map_rows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run,
-                    f"doc_id {id_type}, labels array<string>")
+                    f"doc_id {id_type}, labels array<string>", done=_CACHE.clear)

@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (_arrow_schema, as_long, bound_batches, components, map_rows, may_hold, mix64, shared, window_hashes,
-                     word_hashes)
+from .common import (_arrow_schema, as_long, bound_batches, components, map_rows, may_hold, mix64, remove, shared, stored,
+                     window_hashes, word_hashes)
 from .grid_join import local_components
 
 SHINGLE = 5
@@ -85,11 +85,12 @@ def _least_needed(size: Column) -> Column:
     return _needed(F.ceil(size * NUMERATOR / DENOMINATOR))
 
 
-def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first tokens of a set under one order: rare ones by hash, then common ones by frequency, then hash.
+def ordered(tokens: np.ndarray, seed: int, common: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
+    """The tokens of a set with its prefix under one order first, and the size of the prefix.
 
-    common: sorted tokens; rank: their place by frequency, rarest first. Tokens
-    that tie with the last one are all taken, so ties need no order.
+    Rare tokens go by hash, then common ones by frequency, then hash. common:
+    sorted tokens; rank: their place by frequency, rarest first. Tokens that tie
+    with the last one are all taken, so ties need no order.
     """
     p = prefix_size(len(tokens))
     key = mix64(tokens ^ np.uint64(seed)) >> np.uint64(1)
@@ -98,7 +99,16 @@ def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, rank: np.ndarray)
         hit = common[at] == tokens
         # common tokens: upper half, by rank, hash breaks ties of equal counts
         key[hit] = np.uint64(1 << 63) | (rank[at[hit]].astype(np.uint64) << np.uint64(32)) | (key[hit] >> np.uint64(31))
-    return tokens[key <= np.partition(key, p - 1)[p - 1]] if p < len(tokens) else tokens
+    if p >= len(tokens):
+        return tokens, len(tokens)
+    first = key <= np.partition(key, p - 1)[p - 1]
+    return np.concatenate([tokens[first], tokens[~first]]), int(first.sum())
+
+
+def prefix(tokens: np.ndarray, seed: int, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first tokens of a set under one order."""
+    out, p = ordered(tokens, seed, common, rank)
+    return out[:p]
 
 
 def _summaries(docs: DataFrame, n: int) -> DataFrame:
@@ -154,17 +164,19 @@ def _possible(a: Column, b: Column) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs ``a, b`` that pass the second order's prefixes and the exact threshold."""
-    def with_side(df: DataFrame, col: str, side: str) -> DataFrame:
+    second = F.expr("slice(tokens, 1, second)")
+
+    def with_side(df: DataFrame, col: Column, side: str) -> DataFrame:
         return df.join(sets.select(F.col("node").alias(side), F.col("size").alias(f"size_{side}"),
-                                   F.col(col).alias(f"set_{side}")), side)
+                                   col.alias(f"set_{side}")), side)
 
-    def common(df: DataFrame, col: str) -> DataFrame:
+    def common(df: DataFrame, col: Column) -> DataFrame:
         return (with_side(with_side(df, col, "a"), col, "b")
                 .withColumn("c", F.size(F.array_intersect("set_a", "set_b"))))
 
-    near = common(pairs, "second").where(F.col("c") >= F.least(_needed(F.col("size_a")), _needed(F.col("size_b"))))
+    near = common(pairs, second).where(F.col("c") >= F.least(_needed(F.col("size_a")), _needed(F.col("size_b"))))
     s = F.col("size_a") + F.col("size_b")
-    return (common(near.select("a", "b"), "tokens")
+    return (common(near.select("a", "b"), F.col("tokens"))
             .where(F.col("c") * DENOMINATOR >= (s - F.col("c")) * NUMERATOR).select("a", "b"))
 
 
@@ -258,32 +270,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     many = top["many"].to_numpy()[order]
     # the place by frequency: equal counts share it
     sent = spark.sparkContext.broadcast((token[order], np.searchsorted(np.unique(many), many)))
-    sizes = own.where("node is not null and doc is not null").groupBy("node").agg(
-        F.min("doc").alias("rep"), F.min("size").alias("size"))
+    sizes, sizes_at = stored(own.where("node is not null and doc is not null").groupBy("node").agg(
+        F.min("doc").alias("rep"), F.min("size").alias("size")))
+    is_rep = may_hold(sizes, "rep")     # a node's smallest document speaks for its copies; a few others pass too
 
-    def first_prefix(text):
+    def first_prefix(doc, text):
         common, rank = sent.value
-        sets = [s for s in (shingles(t, n) for t in text.to_pylist()) if len(s)]
-        pre = [prefix(s, ORDERS[0], common, rank) for s in sets]
+        pre = [prefix(s, ORDERS[0], common, rank) for s in (shingles(t, n) for t in text.to_pylist())]
         flat = np.concatenate([*pre, np.empty(0, np.uint64)])
         known = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat if len(common) else np.zeros(len(flat), bool)
-        return {"token": as_long(flat), "node": np.repeat(np.array([_node(s) for s in sets], np.int64), [len(p) for p in pre]),
-                "common": known}
+        # 48 bits tell tokens apart for the filters; pairs are verified with all 64
+        return {"token": as_long(flat >> np.uint64(16)), "rep": np.repeat(doc.to_numpy(), [len(p) for p in pre]), "common": known}
 
-    index = map_rows(src.where("doc is not null and text is not null").select("text"), first_prefix,
-                     "token long, node long, common boolean")
+    index = map_rows(src.where(F.col("text").isNotNull() & is_rep(F.col("doc"))), first_prefix,
+                     "token long, rep long, common boolean")
     # which tokens two nodes share; a window, so that the rows are shuffled once. Common tokens count as shared, and
-    # their rows are spread by node
-    spread = index.withColumn("salt", F.when(F.col("common"), F.col("node")).otherwise(F.lit(0).cast("long")))
+    # their rows are spread by document
+    spread = index.withColumn("salt", F.when(F.col("common"), F.col("rep")).otherwise(F.lit(0).cast("long")))
     of_token = Window.partitionBy("token", "salt")
-    met = shared(spread.select("token", "node", "common", F.min("node").over(of_token).alias("lo"),
-                               F.max("node").over(of_token).alias("hi"))
-                 .where("common or lo <> hi").select("token", "node").distinct())
-    active = shared(met.groupBy("node").agg(F.count("*").alias("met")).join(sizes, "node")
-                    .where(F.col("met") >= _least_needed(F.col("size"))).select("node", "rep", "size"))
-    rows = shared(met.join(active, "node"))
-
-    # full sets and the second order's prefixes of the nodes that go on
+    met, met_at = stored(spread.select("token", "rep", "common", F.min("rep").over(of_token).alias("lo"),
+                                       F.max("rep").over(of_token).alias("hi"))
+                         .where("common or lo <> hi").select("token", "rep").distinct())
+    active, active_at = stored(met.groupBy("rep").agg(F.count("*").alias("met")).join(sizes, "rep")
+                               .where(F.col("met") >= _least_needed(F.col("size"))).select("node", "rep", "size"))
+    remove(spark)
+
+    # full sets of the nodes that go on, the second order's prefix first
     may = may_hold(active, "rep")
 
     def full(node, size, text):
@@ -292,23 +304,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for k, m, t in zip(node.to_pylist(), size.to_pylist(), text.to_pylist()):
             s = shingles(t, n)
             if len(s) == m and _node(s) == k:   # a row that repeats the id may have another text
-                for c, v in zip(out, (k, m, as_long(s), as_long(prefix(s, ORDERS[1], common, rank)))):
+                tokens, second = ordered(s, ORDERS[1], common, rank)
+                for c, v in zip(out, (k, m, as_long(tokens), second)):
                     out[c].append(v)
         return out
 
     sets = map_rows(src.where(F.col("text").isNotNull() & may(F.col("doc")))
                     .join(active.withColumnRenamed("rep", "doc"), "doc").select("node", "size", "text"), full,
-                    "node long, size long, tokens array<long>, second array<long>")
-    sets = shared(sets)
+                    "node long, size long, tokens array<long>, second int")
+    sets, sets_at = stored(sets)
 
     # clusters: every token's nodes go to the cluster of the token's hub, the node of the smallest document
-    hub = rows.groupBy("token").agg(F.min(F.struct("rep", "node", "size")).alias("hub")).select(
-        "token", F.col("hub.node").alias("hub"), F.col("hub.size").alias("hub_size"))
-    members = shared(rows.join(hub, "token").select("hub", "hub_size", "node", "size").distinct())
+    rows = met.join(active.select("rep"), "rep", "left_semi")
+    hubs = rows.groupBy("token").agg(F.min("rep").alias("hub"))
+    both_reps = rows.join(hubs, "token").select("hub", "rep").distinct()
+    members, members_at = stored(
+        both_reps.join(active, "rep").drop("rep")
+        .join(active.select(F.col("rep").alias("hub"), F.col("node").alias("hub_node"), F.col("size").alias("hub_size")), "hub")
+        .select(F.col("hub_node").alias("hub"), "hub_size", "node", "size"))
+    remove(spark, met_at, active_at)
     star = (members.where((F.col("hub") != F.col("node")) & _possible(F.col("size"), F.col("hub_size")))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")))
     links = shared(_verified(star, sets))
+    remove(spark)
     links = links.unionByName(shared(_cluster_links(_labels(members, links), sets)))
+    remove(spark, sets_at, members_at)
 
     # nodes' smallest documents carry the links; rows of one id, or of one set, meet in them
     rep = sizes.select("node", "rep")
@@ -317,6 +337,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
              .unionByName(own.join(rep, "node").where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))))
     classes = components(edges)
+    remove(spark, sizes_at)
     out = own.join(classes, own["doc"] == classes["node"], "left")
     return out.select(own["doc"].cast(dict(docs.dtypes)[id_col]).alias("doc_id"), own["size"].alias("n_shingles"),
                       F.coalesce(classes["component"], own["doc"]).alias("component_id"))
