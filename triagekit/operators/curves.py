@@ -40,16 +40,12 @@ def cut_points(df: DataFrame, col: str, buckets: int = BUCKETS) -> list:
 
 
 def cut_bucket(df: DataFrame, col: str, buckets: int = BUCKETS) -> Column:
-    """Bucket index by binary search over the cut points of ``df``; ascending with the column."""
+    """Bucket index: the cut points of ``df`` that are not above the value; ascending with the column."""
     kind, cuts = df.schema[col].dataType, cut_points(df, col, buckets)
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(col) < F.lit(cuts[mid]).cast(kind), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(cuts))
+    if not cuts:
+        return F.lit(0)
+    points = F.array(*[F.lit(c).cast(kind) for c in cuts])      # one literal once folded
+    return F.size(F.filter(points, lambda c: c <= F.col(col)))
 
 
 def cumulative(hist: DataFrame, keys: list[str], order_col: str, value_cols: list[str],

@@ -36,9 +36,12 @@ def case_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Structured + scored case table (raw view: sentiment keeps its NULLs)."""
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
-    dims = case_dimensions(spark, sf_dir)
+    return cases_of(read_table(spark, sf_dir, "orders"), case_dimensions(spark, sf_dir))
+
+
+def cases_of(orders: DataFrame, dims: DataFrame) -> DataFrame:
+    """The case view of an orders frame, batch or streaming, joined with its static dimensions."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
     j = o.join(dims, o.o_custkey == dims.c_custkey)
     k = F.col("o_orderkey")
     prio = F.col("o_orderpriority")
