@@ -18,6 +18,7 @@ from ..functions import metrics as M
 from ..operators import curves
 from ..operators import evaluation as E
 from ..operators import features as FE
+from ..operators import joint as JT
 from ..operators import models as MD
 from ..operators import splits as SP
 from ..session import cut_lineage, persist_shared
@@ -35,16 +36,63 @@ def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
     return out.select(row_id, label, array_to_vector("vec").alias("features"))
 
 
+def _joint_scores(prepared: list, specs: list[MD.ModelSpec], fold: str, label: str, row_id: str, keep_train: bool,
+                  hooks: dict | None, n_rows: int) -> list[DataFrame]:
+    """Scores of all (fold, spec) logistic regressions; specs with one kind of penalty are one fit."""
+    kinds: dict[str, list[MD.ModelSpec]] = {}
+    for spec in specs:
+        kinds.setdefault(spec.params.get("penalty", "l2"), []).append(spec)
+    sizes = {k: JT.width(tr) for k, _, tr, _ in prepared}
+    longest = max(sizes.values())
+    rows = None
+    for k, _, tr, va in prepared:
+        for name, part in (("train", tr), ("val", va)):
+            x = JT.padded(part, sizes[k], longest).select(
+                F.lit(k).alias(fold), F.lit(name).alias("split"), row_id, F.col(label).cast("int").alias(label), "_aug")
+            rows = x if rows is None else rows.unionByName(x)
+    train = JT.balanced(rows.where("split = 'train'"), [fold], label)
+    order = [k for k, *_ in prepared]
+    place = F.array_position(F.array(*[F.lit(k) for k in order]), F.col(fold)).cast("int") - 1
+
+    def fit_kind(item):
+        kind, group = item
+        blocks = [(k, spec) for k in order for spec in group]
+        joint = JT.JointLogistic([sizes[k] for k, _ in blocks], [spec.params.get("C") or 1.0 for _, spec in blocks], kind,
+                                 max(spec.params.get("max_iter", 1000) for spec in group))
+
+        def dealt(df: DataFrame) -> DataFrame:
+            each = F.explode(F.sequence(F.lit(0), F.lit(len(group) - 1)))
+            return df.withColumn("_j", each).withColumn("block", place * len(group) + F.col("_j"))
+
+        parts = max(1, -(-n_rows * len(blocks) // FIT_ROWS))
+        fit_rows = dealt(train).select("block", label, "w", "_aug").repartition(parts).cache()
+        joint.fit(fit_rows, label)
+        fit_rows.unpersist()
+        if hooks and "model" in hooks:
+            fps = {k: fp for k, fp, _, _ in prepared}
+            for b, (k, spec) in enumerate(blocks):
+                hooks["model"](spec, k, joint.weights(b), fps[k])
+        names = F.array(*[F.lit(spec.name) for spec in group])
+        scored = joint.transform(dealt(rows if keep_train else rows.where("split = 'val'")))
+        return scored.select(F.element_at(names, F.col("_j") + 1).alias("model"), fold, "split", row_id, label, "y_prob",
+                             (F.col("y_prob") > 0.5).cast("int").alias("y_default"))
+
+    return parallel_map(fit_kind, list(kinds.items()))
+
+
 def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, fold: str = "fold",
               label: str = "escalated", row_id: str = "case_id", n_folds: int = C.N_FOLDS,
               keep_train: bool = True, hooks: dict | None = None) -> DataFrame:
     """Long scored table for every (model, fold, split); (fold, model) fits run concurrently.
 
+    Class-balanced logistic regressions of all folds and penalties of a kind are one fit (``operators.joint``).
+
     Rows are scored once, into the shared checkpoint folder; everything cached
     on the way is released.
     """
     df = persist_shared(df)  # every fold reads it twice (train and validation)
-    parts_of_fit = max(1, -(-df.count() // FIT_ROWS))
+    n_rows = df.count()
+    parts_of_fit = max(1, -(-n_rows // FIT_ROWS))
 
     def prepare_fold(k):
         train = df.filter(F.col(fold) != k)
@@ -76,8 +124,11 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
                                   row_id, label, "y_prob", (F.col("y_prob") > 0.5).cast("int").alias("y_default")))
         return parts
 
-    items = [(p, spec) for p in prepared for spec in specs]
+    joint = [s for s in specs if s.kind == "lr" and not s.smote and s.weighting == "balanced"]
+    items = [(p, spec) for p in prepared for spec in specs if spec not in joint]
     parts = [p for ps in parallel_map(fit_one, items) for p in ps]
+    if joint:
+        parts += _joint_scores(prepared, joint, fold, label, row_id, keep_train, hooks, n_rows)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
