@@ -7,8 +7,11 @@ C -> regParam, population-scaled inputs), plus a few evaluation helpers.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler
@@ -42,6 +45,8 @@ def pos_weight(df: DataFrame, label: str = "escalated", out: str = "w") -> DataF
 # binding limit changes the order of nodes and with it the random feature draws.
 TREE_MEMORY_MB = 512
 
+_LEAF = re.compile(r"Predict: (\S+)")
+
 
 @dataclass
 class ModelSpec:
@@ -158,27 +163,49 @@ def weighted(df: DataFrame, spec: ModelSpec, label: str = "escalated") -> DataFr
     return df
 
 
-def truncate_gbt(model, n_trees: int):
-    """The first ``n_trees`` rounds of a fitted boosted model, as a model.
+def leaf_terms(model) -> list:
+    """Per tree of a boosted model, tree weight times prediction of each leaf, in the order ``leafCol`` numbers them."""
+    out = []
+    for tree, weight in zip(model.trees, model.treeWeights):
+        values = [float(v) for v in _LEAF.findall(tree.toDebugString)]
+        if len(values) != (tree.numNodes + 1) // 2:
+            raise ValueError(f"{len(values)} leaves read of a tree of {tree.numNodes} nodes")
+        out.append([weight * v for v in values])
+    return out
+
+
+def staged_scores(model, df: DataFrame, rounds: list[int], keep: list[str], features: str = "features") -> DataFrame:
+    """Scores of a fitted boosted model after each number of ``rounds``: ``keep``, n_estimators, margin, y_prob.
 
-    Boosting without row subsampling is sequential and deterministic, so this
-    equals a model fitted with ``maxIter=n_trees``; a grid over round counts
-    needs one fit at the largest count.
+    Boosting without row subsampling is sequential and deterministic, so the
+    first n rounds equal a model fitted with ``maxIter=n``: a grid over round
+    counts needs one fit at the largest. Each row meets the trees once (the
+    model's leaf column); a running sum over the leaf terms is read at every
+    wanted count. The table of terms has at most 2^depth numbers a tree.
     """
-    from pyspark import SparkContext
-    from pyspark.ml.classification import GBTClassificationModel
-    if n_trees >= model.getNumTrees:
-        return model
-    jvm, gw = SparkContext._jvm, SparkContext._gateway
-    jm = model._java_obj
-    all_trees, all_w = jm.trees(), jm.treeWeights()
-    trees = gw.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n_trees)
-    weights = gw.new_array(jvm.double, n_trees)
-    for i in range(n_trees):
-        trees[i] = all_trees[i]
-        weights[i] = all_w[i]
-    sub = jvm.org.apache.spark.ml.classification.GBTClassificationModel(jm.uid(), trees, weights, jm.numFeatures(), 2)
-    return GBTClassificationModel(sub)
+    if max(rounds) > model.getNumTrees or min(rounds) < 1:
+        raise ValueError(f"the model has {model.getNumTrees} rounds, asked for {rounds}")
+    terms = leaf_terms(model)
+    table = np.zeros((len(terms), max(map(len, terms))))
+    for i, t in enumerate(terms):
+        table[i, :len(t)] = t
+    at = [n - 1 for n in rounds]
+
+    @F.pandas_udf("array<double>")
+    def margins(leaves: pd.Series) -> pd.Series:
+        if leaves.empty:
+            return pd.Series([], dtype=object)
+        leaf = np.stack(leaves.to_numpy()).astype(np.int64)
+        running = np.cumsum(table[np.arange(len(table)), leaf], axis=1)
+        return pd.Series(list(running[:, at]))
+
+    plain = model.copy().setFeaturesCol(features).setLeafCol("_leaves")
+    for clear in (plain.setPredictionCol, plain.setRawPredictionCol, plain.setProbabilityCol):
+        clear("")
+    m = plain.transform(df).select(*keep, margins(vector_to_array("_leaves")).alias("_m"))
+    pairs = F.arrays_zip(F.array(*[F.lit(int(n)) for n in rounds]).alias("n"), F.col("_m").alias("m"))
+    s = m.select(*keep, F.inline(pairs).alias("n_estimators", "margin"))
+    return s.withColumn("y_prob", 1.0 / (1.0 + F.exp(-2.0 * F.col("margin"))))
 
 
 def positive_probability(df: DataFrame, prob_col: str = "probability", out: str = "y_prob") -> DataFrame:

@@ -58,6 +58,32 @@ def assign_group_folds(df: DataFrame, group: str = "customer_id", label: str = "
     return df.drop("fold").join(f, group)
 
 
+def signature_folds(df: DataFrame, group: str = "customer_id", label: str = "escalated", n_folds: int = C.N_FOLDS,
+                    seed: int = C.SEED) -> DataFrame:
+    """Group-disjoint folds dealt within each (positives, negatives) signature (J1): one row per group.
+
+    Groups of equal signature are dealt in turn in the order of a seeded md5;
+    the turn goes on from stratum to stratum, so folds differ by at most one
+    group in every stratum and in all. Places inside a stratum come from a
+    bucketed prefix sum; the offsets need one row per distinct signature.
+    A null group is one group, null labels count as neither class.
+    """
+    g = df.groupBy(group).agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) == 0).alias("n_neg"))
+    g = g.withColumn("_h", F.md5(F.concat_ws(":", F.col(group).cast("string"), F.lit(str(seed)))))
+    sig = ["n_pos", "n_neg"]
+    p = _positions(g, sig, "_h", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))  # 4,096 buckets in md5 order
+    before = Window.orderBy(*sig).rowsBetween(Window.unboundedPreceding, -1)
+    start = g.groupBy(*sig).agg(F.count(F.lit(1)).alias("_n")).select(
+        *sig, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return p.join(start, sig).select(group, *sig, F.pmod(F.col("_start") + F.col("_pos"), F.lit(n_folds)).cast("int").alias("fold"))
+
+
+def hashed_sample(df: DataFrame, row_id: str, n: int, seed: int = C.SEED) -> DataFrame:
+    """First ``n`` rows in the order of a seeded md5 of the id (J4), the same in any engine: a sampling operator."""
+    h = F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(seed))))
+    return df.withColumn("_u", h).orderBy("_u", row_id).limit(n).drop("_u")
+
+
 def fold_overlap(df: DataFrame, group: str = "customer_id", fold: str = "fold") -> DataFrame:
     """Groups found in more than one fold (H1); must be zero."""
     g = df.groupBy(group).agg(F.countDistinct(fold).alias("k"))

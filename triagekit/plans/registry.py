@@ -73,4 +73,4 @@ def oracle_queries() -> dict[str, str]:
 
 def _load():
     # importing the query modules fills REGISTRY
-    from . import queries_eval, queries_ml, queries_monitor, queries_outcomes, queries_profile, queries_reports  # noqa: F401
+    from . import queries_eval, queries_ml, queries_monitor, queries_outcomes, queries_profile, queries_reports, queries_robust  # noqa: F401

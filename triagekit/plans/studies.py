@@ -90,7 +90,8 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
     """Boosted-tree grid: mean / sample std of tuned F2 per config, ranked (L3, L4).
 
     One fit per (depth, learning rate) at the largest round count per fold;
-    smaller round counts are exact prefixes of it (``truncate_gbt``).
+    smaller round counts are exact prefixes of it and are read off the same pass
+    over the rows (``models.staged_scores``).
     """
     from .parallel import parallel_map
     n_max = max(grid["n_estimators"])
@@ -114,15 +115,12 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
         tr, va = folds[k]
         spec = MD.ModelSpec("gbt", "gbt", {"n_estimators": n_max, "max_depth": d, "learning_rate": lr}, "pos")
         full = spec.estimator(1.0, label).fit(tr)
-        out = []
-        for n in grid["n_estimators"]:
-            m = MD.truncate_gbt(full, n)
-            s_tr = MD.positive_probability(m.transform(tr)).select(label, "y_prob")
-            thr = float(curves.best_threshold(s_tr, [], "y_prob", label).first()["threshold"])
-            s_va = MD.positive_probability(m.transform(va)).withColumn("y_pred", M.apply_threshold("y_prob", thr))
-            f2 = s_va.agg(*M.confusion_aggs(label, "y_pred")).select(M.f2().alias("f2")).first()["f2"]
-            out.append((int(n), int(d), float(lr), int(k), float(f2)))
-        return out
+        s_tr, s_va = (MD.staged_scores(full, x, grid["n_estimators"], [label]) for x in (tr, va))
+        thr = curves.best_threshold(s_tr, ["n_estimators"], "y_prob", label).select("n_estimators", "threshold")
+        pred = s_va.join(F.broadcast(thr), "n_estimators").withColumn(  # one threshold a round count
+            "y_pred", M.apply_threshold("y_prob", F.col("threshold")))
+        f2 = pred.groupBy("n_estimators").agg(*M.confusion_aggs(label, "y_pred")).select("n_estimators", M.f2().alias("f2"))
+        return [(int(r["n_estimators"]), int(d), float(lr), int(k), float(r["f2"])) for r in f2.collect()]
 
     items = [(k, d, lr) for k in range(C.N_FOLDS) for d in grid["max_depth"] for lr in grid["learning_rate"]]
     rows = [r for rs in parallel_map(one_fit, items, workers=6) for r in rs]
