@@ -4,6 +4,7 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from triagekit.operators import models as MD
 from triagekit.operators import silhouette as SIL
 from triagekit.operators import sketches as SK
 from triagekit.operators import splits as SP
+from triagekit.operators import surrogate as SU
 from triagekit.sources import tables as TB
 
 
@@ -127,3 +129,29 @@ def test_signature_folds_deal_every_stratum_evenly(spark):
     assert sizes.max() - sizes.min() <= 1
     again = SP.signature_folds(df.repartition(3)).toPandas()
     assert dict(zip(got.customer_id, got.fold)) == dict(zip(again.customer_id, again.fold))
+
+
+def test_local_weights_of_a_linear_scorer_are_its_coefficients(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(50, 12)) * np.arange(1, 13)
+    x[:, 4] = 3.0  # no spread
+    coef = rng.normal(size=12)
+    df = spark.createDataFrame([(f"r{i}", Vectors.dense(v)) for i, v in enumerate(x)], ["id", "features"])
+    names = [f"f{j:02d}" for j in range(12)]
+
+    def linear(t):
+        total = sum((vector_to_array("features")[j] * float(c) for j, c in enumerate(coef)), F.lit(0.5))
+        return t.withColumn("_y", total)
+
+    scale = SU.spread(df)
+    got = SU.local_weights(df.where("id in ('r1', 'r7')"), "id", names, scale, linear, draws=600).toPandas()
+    assert got.groupby("id").size().to_dict() == {"r1": 10, "r7": 10}
+    for r in got.itertuples():
+        j = names.index(r.feature)
+        assert r.weight == pytest.approx(coef[j], abs=1e-8)
+        assert r.effect == pytest.approx(coef[j] * scale[j], abs=1e-8)
+    want = sorted(range(12), key=lambda j: -abs(coef[j] * scale[j]))[:10]
+    assert got[got.id == "r1"].sort_values("rank").feature.tolist() == [names[j] for j in want]
+    assert SU.local_weights(df.limit(0), "id", names, scale, linear, draws=600).count() == 0
+    with pytest.raises(ValueError):
+        SU.local_weights(df, "id", names, scale, linear, draws=12)

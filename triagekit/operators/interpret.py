@@ -1,9 +1,9 @@
 """Model interpretation.
 
 Linear models are explained exactly: a row's logit is the sum of per-raw-column
-contributions, so permutation importance only needs to permute one scalar per
-raw column, and every (column, repeat) run is one grouped job over
-``rows x runs`` instead of re-scoring the model 110 times.
+contributions, so permutation importance moves each row's array of
+contributions once a repeat and reads all columns of a repeat from that one
+move, instead of re-scoring the model once per column and repeat.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import metrics as M
+from ..session import persist_shared
 from . import curves
 from . import splits as SP
 
@@ -81,25 +82,24 @@ def permutation_importance(val: DataFrame, prep, coefs: list[float], intercept:
     """Mean / population std of the F2 drop when one raw column is permuted.
 
     Exact for a linear model: permuting a raw column permutes its logit
-    contribution. Runs = raw columns x repeats, all in one grouped job.
+    contribution. One permutation a repeat moves the whole array of
+    contributions; the columns are told apart after the join, before a partial
+    aggregation, so a row is shuffled once a repeat whatever the columns.
     """
-    x = contributions(val, prep, coefs, intercept).select(F.col(row_id).cast("string").alias(row_id), label, "logit",
-                                                          F.explode("_contrib").alias("c"))
-    x = x.select(row_id, label, "logit", F.col("c.column").alias("column"), F.col("c.value").alias("value"))
-    runs = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("rep"))
-    keys = ["column", "rep"]
-    by_id = SP._positions(runs.select(*keys, row_id, "value"), keys, row_id,
-                          F.pmod(F.xxhash64(F.col(row_id)), F.lit(SP.HASH_BUCKETS)))
-    by_id = by_id.select(*keys, F.col("_pos").alias("_r"), F.col("value").alias("pvalue"))
-    hashed = runs.select(*keys, row_id, label, "logit", "value",
-                         F.xxhash64(F.col(row_id), F.col("rep"), F.lit(seed)).alias("_h"))
-    by_h = SP._positions(hashed, keys, "_h", F.pmod(F.col("_h"), F.lit(SP.HASH_BUCKETS)))
-    j = by_h.withColumnRenamed("_pos", "_r").join(by_id, keys + ["_r"])
+    x = contributions(val, prep, coefs, intercept).select(F.col(row_id).cast("string").alias(row_id), label, "logit", "_contrib")
+    x = persist_shared(x)  # read by both position tables and the base run
+    hashed = x.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn(
+        "_h", F.xxhash64(F.col(row_id), F.col("rep"), F.lit(seed)))
+    by_h = SP._positions(hashed, ["rep"], "_h", F.pmod(F.col("_h"), F.lit(SP.HASH_BUCKETS)))
+    by_id = SP._positions(x.select(row_id, F.col("_contrib.value").alias("_moved"), F.lit(0).alias("_k")), ["_k"], row_id,
+                          F.pmod(F.xxhash64(F.col(row_id)), F.lit(SP.HASH_BUCKETS))).select("_pos", "_moved")
+    j = by_h.join(by_id, "_pos").select(label, "logit", "rep", F.inline(F.arrays_zip(
+        F.col("_contrib.column").alias("column"), F.col("_contrib.value").alias("value"), F.col("_moved").alias("pvalue"))))
     newp = 1.0 / (1.0 + F.exp(-(F.col("logit") - F.col("value") + F.col("pvalue"))))
     j = j.withColumn("y_pred", (newp >= F.lit(float(threshold))).cast("int"))
+    keys = ["column", "rep"]
     per_run = j.groupBy(*keys).agg(*M.confusion_aggs(label, "y_pred")).select(*keys, M.f2().alias("f2"))
-    base = x.filter(F.col("column") == F.lit(raw_column_slices(prep)[0][0])).select(
-        label, ((1.0 / (1.0 + F.exp(-F.col("logit")))) >= F.lit(float(threshold))).cast("int").alias("y_pred"))
+    base = x.select(label, ((1.0 / (1.0 + F.exp(-F.col("logit")))) >= F.lit(float(threshold))).cast("int").alias("y_pred"))
     b = base.agg(*M.confusion_aggs(label, "y_pred")).select(M.f2().alias("base_f2"))
     r = per_run.withColumn("base_f2", F.lit(float(b.first()["base_f2"])))  # one scalar
     r = r.withColumn("drop", F.col("base_f2") - F.col("f2"))

@@ -11,7 +11,7 @@ BLOCK = 512  # rows of a block; a task holds two blocks
 _STRIP = 32  # rows of one block whose differences are held at a time
 
 
-def _distance_sums(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _distance_sums(key, left, right):
     """Per row of the left block and cluster of the right block, the sum of distances."""
     if left.empty or right.empty:
         return pd.DataFrame({"_id": left["_id"][:0], "_other": right["_other"][:0], "_sum": np.zeros(0)})

@@ -348,6 +348,12 @@ def q_row_contributions(spark, sf_dir):
     return S.fold_row_contributions(_study_cases(spark, sf_dir), _study_prep(), 0)
 
 
+@register("local_surrogates", ops="M3,G4")
+def q_local_surrogates(spark, sf_dir):
+    """Local linear weights of the representative validation rows of fold 0."""
+    return S.fold_local_weights(_study_cases(spark, sf_dir), _study_prep(), 0)
+
+
 _REP_SQL = with_(SCORED + """,
 lab AS (SELECT case_id, y_prob, escalated, CASE WHEN escalated = 1 AND y_pred = 1 THEN 'TP' WHEN escalated = 0 AND y_pred = 1 THEN 'FP'
   WHEN escalated = 1 AND y_pred = 0 THEN 'FN' ELSE 'TN' END AS prediction_type FROM scored),

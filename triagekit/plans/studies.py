@@ -21,6 +21,7 @@ from ..operators import interpret as IN
 from ..operators import models as MD
 from ..operators import splits as SP
 from ..operators import stats as ST
+from ..operators import surrogate as SU
 from ..session import persist_shared
 from . import cv
 
@@ -337,6 +338,21 @@ def fold_row_contributions(df: DataFrame, prep: FE.Preprocessor, fold: int = 0)
     return IN.row_contributions(va, names, list(model.coefficients.toArray()), mu, float(model.intercept))
 
 
+def fold_local_weights(df: DataFrame, prep: FE.Preprocessor, fold: int = 0, row_id: str = "case_id") -> DataFrame:
+    """Local surrogate weights of a fold's representative validation rows, ten features each (M3)."""
+    model, fp, tr, va = representative_fold(df, prep, fold)
+    thr = float(curves.best_threshold(MD.positive_probability(model.transform(tr)).select("escalated", "y_prob"), []).first()["threshold"])
+    va = va.select(row_id, "escalated", "features")
+    scored = MD.positive_probability(model.transform(va)).select(row_id, "escalated", "y_prob").withColumn(
+        "y_pred", M.apply_threshold("y_prob", thr)).cache()
+    picks = IN.representative_rows(scored, row_id).select(row_id, "prediction_type", "pick", "y_prob").cache()
+    rows = va.join(picks.select(row_id).distinct(), row_id)
+    names = fp.feature_names()
+    w = SU.local_weights(rows, row_id, names, SU.spread(tr),
+                         lambda x: MD.positive_probability(model.transform(x)).withColumnRenamed("y_prob", "_y"))
+    return picks.join(w, row_id)
+
+
 def knn_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KNN_KS, row_id: str = "case_id") -> DataFrame:
     """kNN vote share for every k from one exact top-max(k) search per fold; tuned threshold (K6).
 
