@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, rank_encoding
+from .common import map_rows, rank_encoding, shared
 
 CHUNK = 32768
 OVERLAP = 1024
@@ -87,7 +87,9 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         return {"row": row, "doc_id": doc, "k": k, "n": n, "text": text, "stop": stop}
 
     cols = f"row long, doc_id {id_type}, k int, n int, text string"
-    parts = map_rows(src.where(long).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), cut, cols)
+    # numbered rows are written first: a task that is run again must not number them anew
+    rows = shared(src.where(long).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    parts = map_rows(rows, cut, cols)
     marked = map_rows(parts.repartition("row", "k"), mark, cols + ", stop int")
     doc = Window.partitionBy("row")
     lost = F.max(F.when(F.col("stop").isNull() & (F.col("k") < F.col("n") - 1), 1).otherwise(0)).over(doc) == 1
