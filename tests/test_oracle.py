@@ -8,7 +8,8 @@ from conftest import SF_SMALL
 import __spark_entry__ as ENTRY
 from scripts.check_oracle import TABLES, digest, norm
 
-FAST = ["segment_performance", "recall_disparity", "confusion", "pr_auc", "best_threshold", "threshold_sweep",
+FAST = ["signature_folds", "distinct_sketches", "case_quarantine", "silhouette_euclidean",
+        "segment_performance", "recall_disparity", "confusion", "pr_auc", "best_threshold", "threshold_sweep",
         "threshold_picks", "tier_distribution", "temporal_stability", "cost_sensitivity", "cost_breakeven",
         "calibration_table", "category_rates", "numeric_describe", "chi_square", "cramers_v", "mann_whitney",
         "histogram", "stratified_folds", "fold_overlap", "knn_vote", "monitor_windows", "monitor_weekly",
