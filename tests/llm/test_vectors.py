@@ -158,3 +158,19 @@ def test_local_components():
             for a, b in zip(i, j):
                 root[a] = root[b] = min(root[a], root[b])
         assert grid_join.local_components(n, i, j).tolist() == root
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_neighbours_found_on_the_whole_table(spark, sf):
+    """Recall at 5 with every row of the given table as a query, against brute force."""
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"]) for r in df.select("vec_id", "embedding").collect() if r["embedding"] is not None]
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    score = x @ x.T
+    np.fill_diagonal(score, -2)
+    best = {int(i): set(ids[np.argpartition(-s, 5)[:5]].tolist()) for i, s in zip(ids, score)}
+    got = ann.search(df, F.col("vec_id").isNotNull()).collect()
+    assert len(got) == 5 * len(ids)
+    assert sum(r["vec_id"] in best[r["query_id"]] for r in got) >= 0.95 * len(got)
