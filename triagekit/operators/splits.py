@@ -7,16 +7,12 @@ holding a third of all entities is still spread over many tasks.
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from . import curves
+from .metric_index import CellIndex
 
 HASH_BUCKETS = 1 << 12
 
@@ -131,130 +127,10 @@ def permute_column(df: DataFrame, row_id: str, col: str, seed: int) -> DataFrame
     return df.drop(col).join(perm, row_id)
 
 
-# ----------------------------------------------------------------------------------- exact kNN
-
-def _block_topk(k: int, exclude_self: bool):
-    """Per bucket group: exact squared distances of its queries to its points (numpy), top-k per query.
-
-    Distances are summed dimension by dimension, left to right, so ties and
-    near-ties rank exactly as a sequential SQL sum would.
-    """
-    def run(qpdf: pd.DataFrame, ppdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or ppdf.empty:
-            qe = qpdf["_q"].iloc[:0] if "_q" in qpdf.columns else pd.Series([], dtype=object)
-            pe = ppdf["_p"].iloc[:0] if "_p" in ppdf.columns else pd.Series([], dtype=object)
-            return pd.DataFrame({"_q": qe.reset_index(drop=True), "_p": pe.reset_index(drop=True),
-                                 "_d2": pd.Series([], dtype="float64")})
-        qid = qpdf["_q"].to_numpy()
-        pid = ppdf["_p"].to_numpy()
-        Q = np.stack(qpdf["_qv"].to_numpy()).astype(np.float64)
-        P = np.stack(ppdf["_pv"].to_numpy()).astype(np.float64)
-        d = np.zeros((len(Q), len(P)))
-        for j in range(Q.shape[1]):
-            diff = Q[:, j][:, None] - P[:, j][None, :]
-            d += diff * diff
-        if exclude_self:
-            d[qid[:, None] == pid[None, :]] = np.inf
-        out_q, out_p, out_d = [], [], []
-        for i in range(len(Q)):
-            order = np.lexsort((pid, d[i]))[:k]
-            order = order[np.isfinite(d[i][order])]
-            out_q.append(np.repeat(qid[i:i + 1], len(order)))
-            out_p.append(pid[order])
-            out_d.append(d[i][order])
-        return pd.DataFrame({"_q": np.concatenate(out_q), "_p": np.concatenate(out_p), "_d2": np.concatenate(out_d)})
-    return run
-
-
 def knn(queries: DataFrame, points: DataFrame, k: int, qid: str, pid: str, vec: str = "vec",
         exclude_self: bool = False, block_target: int = 256) -> DataFrame:
-    """Exact k nearest points (squared Euclidean, ties by point id) for every query.
-
-    Both sides are projected on the points' first principal direction (a unit
-    vector, so the projection gap lower-bounds the distance) and cut into
-    buckets of about ``block_target`` points. Round 1 compares every query
-    with its own and the two neighbouring buckets; a query whose k-th distance
-    is below the covered half-width is certified exact. Other queries are
-    re-run on every bucket of the band of half-width equal to their current
-    k-th distance (an upper bound of the true one), which is exact. No cap is
-    placed on candidates; pairs only form inside bucket blocks, whose
-    distances are computed with numpy inside the tasks (cogrouped by block,
-    with an explicit partition count so small-but-CPU-heavy stages stay
-    parallel). A bucket holding a large share of the points (skewed
-    projections) is cut into point-chunk x query-chunk blocks of at most
-    ``block_target`` each, so no group grows with the data.
-    """
-    from pyspark.ml.feature import PCA as _PCA
-    from pyspark.ml.functions import array_to_vector
-
-    qtype, ptype = queries.schema[qid].dataType, points.schema[pid].dataType
-    q = queries.select(F.col(qid).alias("_q"), F.transform(vec, lambda v: v.cast("double")).alias("_qv"))
-    p = points.select(F.col(pid).alias("_p"), F.transform(vec, lambda v: v.cast("double")).alias("_pv"))
-    n = p.count()
-    if n == 0:
-        return queries.sparkSession.createDataFrame([], T.StructType([
-            T.StructField(qid, qtype), T.StructField(pid, ptype), T.StructField("sq_dist", T.DoubleType()),
-            T.StructField("rank", T.IntegerType())]))
-    d = len(p.select("_pv").first()[0])
-    if n > 1:
-        pc = _PCA(k=1, inputCol="_x", outputCol="_y").fit(p.select(array_to_vector("_pv").alias("_x")))
-        u = [float(x) for x in pc.pc.toArray()[:, 0]]  # unit vector, one value per dimension
-    if n <= 1 or not all(math.isfinite(x) for x in u):
-        u = [1.0 / math.sqrt(d)] * d  # any unit direction keeps the search exact; only pruning differs
-    ua = F.array(*[F.lit(x) for x in u])
-    proj = lambda c: F.aggregate(F.zip_with(c, ua, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
-    q = q.withColumn("_qproj", proj(F.col("_qv")))
-    p = p.withColumn("_pproj", proj(F.col("_pv")))
-    st = p.agg(F.min("_pproj"), F.max("_pproj")).first()
-    lo, hi = float(st[0]), float(st[1])
-    nb = max(1, n // block_target)
-    w = (hi - lo) / nb if hi > lo else 1.0
-    parts = max(1, 4 * queries.sparkSession.sparkContext.defaultParallelism)
-    pb = p.withColumn("_b", F.least(F.greatest(F.floor((F.col("_pproj") - lo) / w), F.lit(0)), F.lit(nb)).cast("long"))
-    pcount = pb.groupBy("_b").agg(F.count(F.lit(1)).alias("_np"))
-    schema = T.StructType([T.StructField("_q", qtype), T.StructField("_p", ptype), T.StructField("_d2", T.DoubleType())])
-    fn = _block_topk(k, exclude_self)
-    keys = ["_b", "_pc", "_qc"]
-
-    def blocks(qb: DataFrame) -> DataFrame:
-        # a hot bucket is cut into (point chunk x query chunk) blocks of bounded size
-        qcount = qb.groupBy("_b").agg(F.count(F.lit(1)).alias("_nq"))
-        ch = qcount.join(pcount, "_b").select(
-            "_b", F.greatest(F.lit(1), F.ceil(F.col("_np") / block_target)).cast("long").alias("_cp"),
-            F.greatest(F.lit(1), F.ceil(F.col("_nq") / block_target)).cast("long").alias("_cq"))
-        pts = pb.select("_b", "_p", "_pv").join(ch, "_b").select(
-            "_b", "_p", "_pv", F.pmod(F.xxhash64(F.col("_p")), F.col("_cp")).alias("_pc"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cq") - 1)).alias("_qc"))
-        qs = qb.select("_b", "_q", "_qv").join(ch, "_b").select(
-            "_b", "_q", "_qv", F.pmod(F.xxhash64(F.col("_q")), F.col("_cq")).alias("_qc"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_cp") - 1)).alias("_pc"))
-        res = (qs.repartition(parts, *keys).groupBy(*keys)
-               .cogroup(pts.repartition(parts, *keys).groupBy(*keys)).applyInPandas(fn, schema))
-        wq = Window.partitionBy("_q").orderBy("_d2", "_p")  # at most k rows per (query, block)
-        return res.withColumn("_rank", F.row_number().over(wq)).filter(F.col("_rank") <= k)
-
-    # round 1: own bucket and neighbours
-    qb = q.withColumn("_qb", F.floor((F.col("_qproj") - lo) / w).cast("long"))
-    r1 = blocks(qb.select("*", F.explode(F.array(F.col("_qb") - 1, F.col("_qb"), F.col("_qb") + 1)).alias("_b"))).cache()
-    # covered band around the query projection: [lo + (qb-1)w, lo + (qb+2)w)
-    cover = F.least(F.col("_qproj") - (F.lit(lo) + (F.col("_qb") - 1) * w),
-                    (F.lit(lo) + (F.col("_qb") + 2) * w) - F.col("_qproj"))
-    kth = r1.groupBy("_q").agg(F.max("_d2").alias("_dk2"), F.count(F.lit(1)).alias("_m"))
-    need = min(k, n - (1 if exclude_self else 0))
-    chk = qb.join(kth, "_q", "left").fillna(0, subset=["_m"]).withColumn(
-        "_ok", F.coalesce((F.col("_m") >= need) & (F.sqrt("_dk2") < cover), F.lit(False)))
-    done = r1.join(chk.filter("_ok").select("_q"), "_q", "left_semi")
-    # round 2: every bucket within the current k-th distance (or all buckets if too few candidates)
-    rest = chk.filter(~F.col("_ok")).withColumn(
-        "_rad", F.when(F.col("_m") >= need, F.sqrt("_dk2")).otherwise(F.lit(hi - lo + 1.0)))
-    b_lo = F.floor((F.col("_qproj") - F.col("_rad") - lo) / w).cast("long")
-    b_hi = F.floor((F.col("_qproj") + F.col("_rad") - lo) / w).cast("long")
-    q2 = rest.select("_q", "_qv", F.explode(F.sequence(F.greatest(b_lo, F.lit(0)), F.least(b_hi, F.lit(nb)))).alias("_b"))
-    r2 = blocks(q2)
-    cols = ["_q", "_p", "_d2", "_rank"]
-    out = done.select(*cols).unionByName(r2.select(*cols))
-    return out.select(F.col("_q").alias(qid), F.col("_p").alias(pid), F.col("_d2").alias("sq_dist"),
-                      F.col("_rank").cast("int").alias("rank"))
+    """Exact k nearest points (squared Euclidean, ties by point id) for every query: ``qid, pid, sq_dist, rank``."""
+    return CellIndex(points, pid, vec, block_target).search(queries, k, qid, vec, exclude_self).neighbours
 
 
 def smote(train: DataFrame, row_id: str, label: str = "escalated", vec: str = "vec", k: int = 5,
