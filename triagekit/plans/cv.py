@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import metrics as M
 from ..operators import curves
-from ..operators import evaluation as E
 from ..operators import features as FE
 from ..operators import joint as JT
 from ..operators import models as MD
@@ -185,17 +184,22 @@ def rank_models(summary: DataFrame, metric: str = "mean_f2_tuned") -> DataFrame:
 
 def oof_scored(df: DataFrame, spec: MD.ModelSpec, prep: FE.Preprocessor, fold: str = "fold",
                label: str = "escalated", row_id: str = "case_id", mode: str = "per_fold",
-               hooks: dict | None = None) -> DataFrame:
-    """Out-of-fold scored rows with per-fold or mean tuned thresholds."""
+               hooks: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(out-of-fold scored rows, fold metrics) of one fitted model.
+
+    Each row's score comes from the fold that held it out; ``threshold`` and
+    ``y_pred`` are the fold's tuned ones, or with ``mode='mean'`` those of the
+    folds' mean threshold.
+    """
     s = cv_scores(df, [spec], prep, fold, label, row_id, hooks=hooks)
-    fm = cv_fold_metrics(s, fold, label)
-    va = s.filter(F.col("split") == "val").drop("split")
+    fm = cut_lineage(cv_fold_metrics(s, fold, label))   # one row per fold
+    va = s.filter(F.col("split") == "val").drop("split", "y_default")
     if mode == "per_fold":
         va = va.join(F.broadcast(fm.select("model", fold, "threshold")), ["model", fold])
     else:
         mt = float(fm.agg(F.avg("threshold")).first()[0])
         va = va.withColumn("threshold", F.lit(mt))
-    return va.withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold")))
+    return va.withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold"))), fm
 
 
 def with_case_columns(scored: DataFrame, cases: DataFrame, row_id: str = "case_id") -> DataFrame:
@@ -203,7 +207,3 @@ def with_case_columns(scored: DataFrame, cases: DataFrame, row_id: str = "case_i
     c = cases.select(F.col(row_id).cast("string").alias(row_id), *[x for x in cases.columns
                                                                     if x not in (row_id, "escalated", "y_prob", "fold")])
     return scored.join(c, row_id)
-
-
-def pooled_metrics(scored: DataFrame) -> DataFrame:
-    return E.confusion(scored)

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions import metrics as M
 from ..functions.text import clean_text
 from ..operators import features as FE
 from ..operators import interpret as IN
@@ -226,6 +227,43 @@ def q_lr_cv(spark, sf_dir):
     return S.lr_cv(_model_cases(spark, sf_dir), _case_prep())
 
 
+def _oof(spark, sf_dir, mode="per_fold"):
+    """Case rows with the out-of-fold scores and decisions of the logistic baseline, and its fold metrics."""
+    m = _model_cases(spark, sf_dir)
+    scored, fm = CV.oof_scored(m, MD.reference_models()[0], _case_prep(), mode=mode)
+    return CV.with_case_columns(scored, m), fm
+
+
+@register("oof_model_predictions", ops="L9,C3,H1")
+def q_oof_model_predictions(spark, sf_dir):
+    """Out-of-fold score of the fitted model, the fold's threshold and the decision on every case."""
+    return _oof(spark, sf_dir)[0].select("case_id", "fold", "customer_id", "region", "issue_category", "escalated", "y_prob",
+                                         "threshold", "y_pred")
+
+
+@register("oof_model_rows", ops="L9,C3",
+          sql=with_(MODEL, """SELECT fold, region, count(*) AS n, CAST(sum(escalated) AS BIGINT) AS n_pos, count(*) AS n_scored
+FROM model_cases GROUP BY fold, region"""))
+def q_oof_model_rows(spark, sf_dir):
+    """Cases, positives and rows with a probability per fold and region: the scores scatter back to every case once."""
+    return _oof(spark, sf_dir)[0].groupBy("fold", "region").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("escalated").cast("long")).alias("n_pos"),
+        F.count_if(F.col("y_prob").between(0, 1)).alias("n_scored"))
+
+
+@register("oof_model_segments", ops="L10,L11,D22,D23")
+def q_oof_model_segments(spark, sf_dir):
+    """Recall, precision and F2 by region and customer type at the mean threshold, from the fitted model's scores."""
+    rows = _oof(spark, sf_dir, mode="mean")[0]
+    cells = rows.groupBy("region", "customer_type").agg(*M.confusion_aggs())
+    segments = F.array(*[F.struct(F.lit(c).alias("segment"), F.col(c).cast("string").alias("value"))
+                         for c in ("region", "customer_type")])
+    per = cells.withColumn("_s", F.explode(segments)).groupBy("_s").agg(
+        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
+    return per.select("_s.segment", "_s.value", "tn", "fp", "fn", "tp", M.recall().alias("recall"),
+                      M.precision().alias("precision"), M.f2().alias("f2"))
+
+
 @register("model_comparison", ops="K1-K5,L2,L3,L5,J3")
 def q_model_comparison(spark, sf_dir):
     """All six models with one base (LR_baseline) and one selection; XGB_tuned is the best of the grid."""

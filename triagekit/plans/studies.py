@@ -12,6 +12,7 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import metrics as M
@@ -22,7 +23,7 @@ from ..operators import models as MD
 from ..operators import splits as SP
 from ..operators import stats as ST
 from ..operators import surrogate as SU
-from ..session import persist_shared
+from ..session import cut_lineage, persist_shared
 from . import cv
 
 
@@ -353,46 +354,56 @@ def fold_local_weights(df: DataFrame, prep: FE.Preprocessor, fold: int = 0, row_
     return picks.join(w, row_id)
 
 
-def knn_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KNN_KS, row_id: str = "case_id") -> DataFrame:
-    """kNN vote share for every k from one exact top-max(k) search per fold; tuned threshold (K6).
-
-    Training-row scores include the row itself, as the reference's do.
-    """
+def _fold_spaces(df: DataFrame, prep: FE.Preprocessor, row_id: str) -> DataFrame:
+    """Every row in the features of every fold's preprocessor: ``k``, ``_id`` (one for each row and fold), ``val``, label, ``vec``."""
     from .parallel import parallel_map
-    kmax = max(ks)
+    whole = isinstance(df.schema[row_id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
-    def one_fold(k_fold):
-        train = df.filter(F.col("fold") != k_fold)
-        val = df.filter(F.col("fold") == k_fold)
-        fp = prep.fit(train)
-        tr = fp.transform(train).select(F.col(row_id).alias("_id"), "escalated", vector_to_array("features").alias("vec")).cache()
-        va = fp.transform(val).select(F.col(row_id).alias("_id"), "escalated", vector_to_array("features").alias("vec"))
-        pts = tr.select(F.col("_id").alias("_pid"), "vec")
-        lab = tr.select(F.col("_id").alias("_pid"), F.col("escalated").alias("_py"))
-        shares = {}
-        for split, q in (("train", tr), ("val", va)):
-            nn = SP.knn(q, pts, kmax, "_id", "_pid", "vec").join(lab, "_pid")
-            share = nn.groupBy("_id").agg(*[F.avg(F.when(F.col("rank") <= k, F.col("_py"))).alias(f"k{k}") for k in ks])
-            shares[split] = share.join(q.select("_id", "escalated"), "_id").cache()
-        out = []
-        for k in ks:
-            tr_s = shares["train"].select("escalated", F.col(f"k{k}").alias("y_prob"))
-            va_s = shares["val"].select("escalated", F.col(f"k{k}").alias("y_prob"))
-            thr = float(curves.best_threshold(tr_s, []).first()["threshold"])
-            r = va_s.withColumn("y_pred", M.apply_threshold("y_prob", thr)).agg(*M.confusion_aggs()).select(
-                M.f2().alias("f2")).first()
-            out.append((int(k), k_fold, float(r["f2"])))
-        return out
+    def space(k: int) -> DataFrame:
+        name = F.col(row_id).cast("long") * C.N_FOLDS + k if whole else F.concat_ws("|", F.lit(k), F.col(row_id))
+        return prep.fit(df.filter(F.col("fold") != k)).transform(df).select(
+            F.lit(k).alias("k"), name.alias("_id"), (F.col("fold") == k).alias("val"), "escalated",
+            vector_to_array("features").alias("vec"))
 
-    rows = [r for rs in parallel_map(one_fold, range(C.N_FOLDS)) for r in rs]
-    spark = df.sparkSession
-    res = []
-    for k in ks:
-        f2s = [r[2] for r in rows if r[0] == k]
-        mean = sum(f2s) / len(f2s)
-        std = (sum((x - mean) ** 2 for x in f2s) / len(f2s)) ** 0.5
-        res.append((int(k), mean, std))
-    t = spark.createDataFrame(res, "k int, f2_mean double, f2_std double")
+    spaces = parallel_map(space, range(C.N_FOLDS))
+    rows = spaces[0]
+    for s in spaces[1:]:
+        rows = rows.unionByName(s)
+    return rows
+
+
+def _set_apart(rows: DataFrame) -> DataFrame:
+    """Vectors padded to one width, with a last place of their fold's own: rows of two folds are farther from each other than
+    any two rows of one fold, and distances within a fold stay as they are."""
+    square = F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)
+    width, most = rows.agg(F.max(F.size("vec")), F.max(square)).first()
+    apart = 4.0 * (float(most or 0.0) ** 0.5 + 1.0)
+    padding = F.array_repeat(F.lit(0.0), F.lit(int(width or 0)) - F.size("vec"))
+    return rows.withColumn("vec", F.concat("vec", padding, F.array(F.col("k") * F.lit(apart))))
+
+
+def knn_study(df: DataFrame, prep: FE.Preprocessor, ks=C.KNN_KS, row_id: str = "case_id") -> DataFrame:
+    """kNN vote share for every k from one exact top-max(k) search over all folds; tuned thresholds (K6).
+
+    Training-row scores include the row itself, as the reference's do. A fold
+    with fewer training rows than k votes with all of them.
+    """
+    spaces = persist_shared(_fold_spaces(df, prep, row_id))
+    rows = _set_apart(spaces)
+    points = rows.where(~F.col("val")).select(F.col("_id").alias("_pid"), "vec")
+    voter = rows.where(~F.col("val")).select(F.col("_id").alias("_pid"), F.col("k").alias("_pk"), F.col("escalated").alias("_py"))
+    nn = SP.knn(rows.select("_id", "vec"), points, max(ks), "_id", "_pid", "vec").join(voter, "_pid")
+    scored = (nn.join(rows.select("_id", "k", "val", "escalated"), "_id").where("k = _pk").groupBy("_id", "k", "val", "escalated")
+              .agg(*[F.avg(F.when(F.col("rank") <= n, F.col("_py"))).alias(str(n)) for n in ks])
+              .unpivot(["_id", "k", "val", "escalated"], [str(n) for n in ks], "n_neighbours", "y_prob"))
+    scored = cut_lineage(scored.withColumn("n_neighbours", F.col("n_neighbours").cast("int")))
+    spaces.unpersist()
+    keys = ["k", "n_neighbours"]
+    thr = curves.best_threshold(scored.where(~F.col("val")), keys).select(*keys, "threshold")
+    per = (scored.where("val").join(F.broadcast(thr), keys)     # one row per fold and k
+           .withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold")))
+           .groupBy(*keys).agg(*M.confusion_aggs()).select(*keys, M.f2().alias("f2")))
+    t = per.groupBy(F.col("n_neighbours").alias("k")).agg(F.avg("f2").alias("f2_mean"), F.stddev_pop("f2").alias("f2_std"))
     w = Window.orderBy(F.col("f2_mean").desc(), "k")  # one row per k
     return t.withColumn("rank", F.row_number().over(w))
 
