@@ -203,13 +203,3 @@ def vif(df: DataFrame, cols: list[str]) -> DataFrame:
     out = spark.createDataFrame(rows, "feature string, vif double, r_squared double")
     return out.withColumn("verdict", F.when(F.col("vif") < C.VIF_WARN, "ok").when(F.col("vif") < C.VIF_HIGH, "moderate")
                           .otherwise("high"))
-
-
-def regression_errors(df: DataFrame, label: str, pred: str, keys: list[str] | None = None) -> DataFrame:
-    """MSE and R^2 of a prediction column."""
-    keys = list(keys or [])
-    y, p = F.col(label).cast("double"), F.col(pred).cast("double")
-    g = df.groupBy(*keys).agg(F.avg((y - p) * (y - p)).alias("mse"), F.sum((y - p) * (y - p)).alias("ssr"),
-                              F.var_pop(y).alias("vy"), F.count(F.lit(1)).alias("n"))
-    return g.select(*keys, "mse", F.when(F.col("vy") > 0, 1 - F.col("ssr") / (F.col("vy") * F.col("n")))
-                    .otherwise(F.lit(0.0)).alias("r2"))

@@ -228,7 +228,7 @@ fnr AS (SELECT s.y_prob, mt.mean_threshold FROM scored s CROSS JOIN mt WHERE s.e
   AS close_pct FROM fnr"""))
 def q_close_misses(spark, sf_dir):
     scored, _, mt = scored_with_thresholds(spark, sf_dir)
-    return E.close_misses(scored, mt)
+    return E.close_misses(scored, mt())
 
 
 @register("miss_rate_by_level", ops="D18", doubles=["miss_rate_pct"],

@@ -43,15 +43,6 @@ def _docs_clean(spark, sf_dir):
     return d.select("doc_id", clean_text("text").alias(C.TEXT_COL_CLEAN))
 
 
-def _text_cases(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    lab = read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("escalated"))
-    t = d.join(lab, "doc_id").select("doc_id", F.col("source").alias("customer_id"), "lang",
-                                     F.col("n_chars").cast("double").alias("n_chars"), "escalated",
-                                     clean_text("text").alias(C.TEXT_COL_CLEAN))
-    return SP.assign_group_folds(t)
-
-
 def _model_cases(spark, sf_dir):
     return prepare(cases(spark, sf_dir))
 
@@ -76,10 +67,6 @@ def _study_prep(text="_text_norm", cats=("lang", "quality"), nums=("n_chars", "n
     return FE.Preprocessor(text, list(cats), list(nums), FE.pre_normalized(FE.TfidfSpec(**spec)))
 
 
-def _text_prep(**spec):
-    return FE.Preprocessor(C.TEXT_COL_CLEAN, ["lang"], ["n_chars"], FE.TfidfSpec(**spec))
-
-
 # --------------------------------------------------------------------------------------- features
 
 @register("tfidf_vocabulary", ops="I1,I2", doubles=["idf"], sql=with_(_TERMS_CTE, "SELECT * FROM vocab"))

@@ -105,11 +105,12 @@ cl AS (SELECT count(*) AS n_close FROM scored, mt WHERE escalated = 1 AND y_pred
           doubles=["f2", "recall", "precision", "mean_threshold", "miss_rate_level_2", "miss_rate_level_3"], sql=_ES_SQL)
 def q_error_summary(spark, sf_dir):
     scored, _, mt = scored_with_thresholds(spark, sf_dir)
+    mean = mt()
     c = E.confusion(scored)
     mr = {r["escalation_level"]: r["miss_rate_pct"] for r in E.miss_rate_by_level(scored).collect()}  # few levels
-    close = E.close_misses(scored, mt).first()["n_close"]
+    close = E.close_misses(scored, mean).first()["n_close"]
     return c.select(
-        "f2", "recall", "precision", "tp", "fp", "fn", "tn", "n", F.lit(mt).alias("mean_threshold"),
+        "f2", "recall", "precision", "tp", "fp", "fn", "tn", "n", F.lit(mean).alias("mean_threshold"),
         F.lit(int(close)).cast("long").alias("n_close_fn"),
         F.lit(mr.get(2)).cast("double").alias("miss_rate_level_2"), F.lit(mr.get(3)).cast("double").alias("miss_rate_level_3"),
         ((F.col("tp") + F.col("fn")) * C.COST_FN).alias("cost_no_model"),
@@ -216,7 +217,7 @@ _RULES = {"tuned_per_fold": "y_pred", "default_0_5": "CAST(y_prob >= 0.5 AS INTE
 def q_comparison_table(spark, sf_dir):
     scored, _, mt = scored_with_thresholds(spark, sf_dir)
     rules = {"tuned_per_fold": F.col("y_pred"), "default_0_5": M.apply_threshold("y_prob", 0.5),
-             "mean_threshold": M.apply_threshold("y_prob", mt)}
+             "mean_threshold": M.apply_threshold("y_prob", mt())}
     parts = []
     for name, e in rules.items():
         c = scored.withColumn("_p", e).groupBy("fold").agg(*M.confusion_aggs(pred="_p"))

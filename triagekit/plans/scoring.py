@@ -38,16 +38,8 @@ def with_mean_threshold(df: DataFrame, mean_thresh: float, score: str = "y_prob"
             .withColumn("y_pred", M.apply_threshold(score, mean_thresh)))
 
 
-def scored_cases(spark: SparkSession, sf_dir: str, mode: str = "per_fold") -> DataFrame:
-    """Model-view cases with scores and decisions; ``mode`` is 'per_fold' or 'mean'."""
-    base = prepare(cases(spark, sf_dir))
-    if mode == "per_fold":
-        return with_fold_thresholds(base)
-    return with_mean_threshold(base, mean_threshold(base))
-
-
 def scored_with_thresholds(spark: SparkSession, sf_dir: str):
-    """(per-fold scored table, thresholds table, mean threshold scalar).
+    """(per-fold scored table, thresholds table, function that returns the mean threshold).
 
     The prepared cases feed both the threshold tuning and every downstream
     aggregate, so they are persisted once (memory, spilling to disk; lost
@@ -57,8 +49,7 @@ def scored_with_thresholds(spark: SparkSession, sf_dir: str):
     thr = curves.fold_thresholds(base).cache()
     scored = (base.join(F.broadcast(thr.select("fold", "threshold")), "fold")
               .withColumn("y_pred", M.apply_threshold("y_prob", F.col("threshold"))))
-    mt = float(thr.agg(F.avg("threshold")).first()[0])
-    return scored, thr, mt
+    return scored, thr, lambda: float(thr.agg(F.avg("threshold")).first()[0])
 
 
 def scored_mean_cases(spark: SparkSession, sf_dir: str):

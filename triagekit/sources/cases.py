@@ -100,11 +100,3 @@ def text_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(lab, "doc_id").select(
         "doc_id", F.col("source").alias("customer_id"), "lang", "text",
         F.col("toxic").alias("escalated"), clean_text("text").alias(C.TEXT_COL_CLEAN))
-
-
-def event_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event stream as scored rows: label = error event, score = capped value."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return ev.select("event_id", "ts", "user_id", "event_type",
-                     (F.col("event_type") == "error").cast("int").alias("escalated"),
-                     (F.least(F.col("value"), F.lit(1e2)) / F.lit(1e2)).alias("y_prob"))
