@@ -99,7 +99,7 @@ def _blocks(rows: DataFrame, queries: DataFrame, keys: list[str], k: int) -> Dat
          .join(queries.groupBy(*keys).agg(F.count("*").alias("m")), keys)
          .withColumn("bx", F.ceil(F.col("n") / BLOCK).cast("int"))
          .withColumn("bq", F.ceil(F.col("m") / QUERY_BLOCK).cast("int")).select(*keys, "bx", "bq"))
-    n = shared(n, 1)   # as many rows as buckets: tables x signed axes
+    n = shared(n)   # as many rows as buckets: tables x signed axes
 
     def spread(side: DataFrame, own: str, other: str, role: int) -> DataFrame:
         at = F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int").alias(own[1])
