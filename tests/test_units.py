@@ -2,6 +2,7 @@
 NULL groups, threshold ties, PR-AUC trapezoid, unseen categories, Unicode cleaning)."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -240,3 +241,18 @@ def test_pre_normalized_text_gives_same_vocabulary(spark):
     n = FE.normalized_text(df, "text", "_n", spec)
     b = {r["term"]: (r["df"], r["tf"]) for r in FE.tfidf_vocabulary(n, "_n", FE.pre_normalized(spec), "doc_id").collect()}
     assert a == b and "elan" in a
+
+
+def test_tfidf_weights_cost_grows_with_the_vocabulary_not_its_square(spark):
+    """The L2 norm of a row is taken once, not once for each of its terms."""
+    words = [f"w{i:04d}" for i in range(1500)]
+    model = FE.TfidfModel(FE.pre_normalized(FE.TfidfSpec(ngram_max=1)), words, [1.0 + i / 1500 for i in range(1500)])
+    texts = [" ".join(words[i:i + 30] + words[i:i + 5]) for i in range(0, 1400, 7)] + ["none of them"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    begin = time.time()
+    rows = {r["doc_id"]: r["v"].toArray() for r in model.transform(df, "text", "v").select("doc_id", "v").collect()}
+    assert time.time() - begin < 12
+    want = np.zeros(1500)
+    want[:30] = [(1 + math.log(2) * (i < 5)) * model.idf[i] for i in range(30)]
+    assert np.allclose(rows[0], want / np.linalg.norm(want), rtol=1e-12)
+    assert not rows[len(texts) - 1].any()

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import CountVectorizerModel, NGram, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, NGram, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,10 +103,8 @@ class TfidfModel:
         tf = F.transform(cnt, lambda c: F.when(c > 0, F.lit(1.0) + F.log(c)).otherwise(F.lit(0.0))) \
             if self.spec.sublinear_tf else cnt
         w = F.zip_with(tf, idf, lambda a, b: a * b)
-        x = x.withColumn("_w", w)
-        norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda acc, v: acc + v * v))
-        x = x.withColumn("_w", F.transform("_w", lambda v: F.when(norm > 0, v / norm).otherwise(v)))
-        return x.withColumn(out_col, array_to_vector("_w")).drop("_terms", "_counts", "_w")
+        return Normalizer(p=2.0, inputCol="_w", outputCol=out_col).transform(
+            x.withColumn("_w", array_to_vector(w))).drop("_terms", "_counts", "_w")
 
     def feature_names(self) -> list[str]:
         return self.vocab

@@ -17,6 +17,7 @@ from ..operators import features as FE
 from ..operators import interpret as IN
 from ..operators import models as MD
 from ..operators import splits as SP
+from ..session import cut_lineage
 from ..sources.cases import cases, prepare
 from ..sources.tables import read_table
 from . import cv as CV
@@ -47,6 +48,10 @@ def _model_cases(spark, sf_dir):
     return prepare(cases(spark, sf_dir))
 
 
+# Rows in a partition of the text cases.
+STUDY_ROWS = 5_000
+
+
 def _case_prep():
     return FE.Preprocessor(text_col=None)
 
@@ -55,12 +60,16 @@ def _study_cases(spark, sf_dir):
     """Labelled text case table of the model studies: text, categories, numbers, target and customer-disjoint folds."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", F.col("toxic").alias("escalated"))
-    t = d.join(lab, "doc_id").select(
-        F.col("doc_id").alias("case_id"), F.col("source").alias("customer_id"), "lang",
+    t = SP.assign_group_folds(d.join(lab, "doc_id").withColumnRenamed("source", "customer_id"))
+    # few bytes a row, much arithmetic: partitions follow cores and rows, not bytes
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-lab.count() // STUDY_ROWS))
+    t = t.repartition(parts).select(
+        F.col("doc_id").alias("case_id"), "customer_id", "lang",
         F.col("quality").cast("string").alias("quality"), F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"), "escalated", clean_text("text").alias(C.TEXT_COL_CLEAN))
-    # the analyzer's folding is computed once and shared by all folds and configurations
-    return FE.normalized_text(SP.assign_group_folds(t), C.TEXT_COL_CLEAN, "_text_norm").drop(C.TEXT_COL_CLEAN)
+        F.size(F.split("text", r"\s+")).cast("double").alias("n_words"), "escalated", "fold",
+        clean_text("text").alias(C.TEXT_COL_CLEAN))
+    # cleaned and folded text and the folds are computed once and shared by all fits, folds and configurations
+    return cut_lineage(FE.normalized_text(t, C.TEXT_COL_CLEAN, "_text_norm").drop(C.TEXT_COL_CLEAN))
 
 
 def _study_prep(text="_text_norm", cats=("lang", "quality"), nums=("n_chars", "n_words"), **spec):
