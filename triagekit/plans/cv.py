@@ -27,6 +27,13 @@ from .parallel import parallel_map
 # Rows in a partition of a fit: an iterative learner runs many short jobs, and
 # smaller partitions only add scheduling to each.
 FIT_ROWS = 20_000
+# Partitions of a fit for each core: every task of every iteration reports to the driver.
+FIT_WAVES = 8
+
+
+def fit_parts(spark, n_rows: int) -> int:
+    """Partitions of ``n_rows`` training rows: by rows, up to a number that the cores fix."""
+    return max(1, min(-(-n_rows // FIT_ROWS), FIT_WAVES * spark.sparkContext.defaultParallelism))
 
 
 def _smote_vectors(tr: DataFrame, row_id: str, label: str) -> DataFrame:
@@ -63,7 +70,7 @@ def _joint_scores(prepared: list, specs: list[MD.ModelSpec], fold: str, label: s
             each = F.explode(F.sequence(F.lit(0), F.lit(len(group) - 1)))
             return df.withColumn("_j", each).withColumn("block", place * len(group) + F.col("_j"))
 
-        parts = max(1, -(-n_rows * len(blocks) // FIT_ROWS))
+        parts = fit_parts(train.sparkSession, n_rows * len(blocks))
         fit_rows = dealt(train).select("block", label, "w", "_aug").repartition(parts).cache()
         joint.fit(fit_rows, label)
         fit_rows.unpersist()
@@ -91,7 +98,7 @@ def cv_scores(df: DataFrame, specs: list[MD.ModelSpec], prep: FE.Preprocessor, f
     """
     df = persist_shared(df)  # every fold reads it twice (train and validation)
     n_rows = df.count()
-    parts_of_fit = max(1, -(-n_rows // FIT_ROWS))
+    parts_of_fit = fit_parts(df.sparkSession, n_rows)
 
     def prepare_fold(k):
         train = df.filter(F.col(fold) != k)

@@ -98,7 +98,7 @@ def grid_search(df: DataFrame, prep: FE.Preprocessor, grid: dict = C.GBT_GRID, l
     from .parallel import parallel_map
     n_max = max(grid["n_estimators"])
     df = persist_shared(df)
-    parts = max(1, -(-df.count() // cv.FIT_ROWS))
+    parts = cv.fit_parts(df.sparkSession, df.count())
 
     def prepare_fold(k):
         train = df.filter(F.col("fold") != k)
@@ -172,7 +172,7 @@ def pca_study(df: DataFrame, prep: FE.Preprocessor, sizes=C.PCA_SIZES, var_targe
     from .parallel import parallel_map
     spark = df.sparkSession
     df = persist_shared(df)
-    parts = max(1, -(-df.count() // cv.FIT_ROWS))
+    parts = cv.fit_parts(df.sparkSession, df.count())
 
     def one_fold(k_fold):
         rows = []
