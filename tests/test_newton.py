@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from triagekit.operators import joint as JT
 from triagekit.operators import models as MD
 from triagekit.operators import newton as NT
 
@@ -42,3 +43,17 @@ def test_missing_label_is_refused(spark):
     df = table(spark, 20).withColumn("escalated", F.when(F.rand(1) < 0.5, F.col("escalated")))
     with pytest.raises(Exception, match="lacks its label"):
         MD.InterceptPenalisedLR.fit(MD.reference_models()[0].estimator(20.0), df.withColumn("w", F.lit(1.0)), "escalated")
+
+
+def test_wide_blocks_equal_newton(spark, monkeypatch):
+    """Blocks wider than a Newton step holds go to MLlib, with the same weights."""
+    df = MD.balanced_weights(table(spark, 120, 3))
+    rows = JT.padded(df, 3, 3).selectExpr("0 as block", "escalated", "w", "_aug").cache()
+    fits = [JT.JointLogistic([3], [2.0], tol=1e-9).fit(rows)]
+    monkeypatch.setattr(NT, "MOST_FEATURES", 2)
+    fits.append(JT.JointLogistic([3], [2.0], tol=1e-9).fit(rows))
+    assert not fits[0].wide and fits[1].wide
+    a, b = (f.weights(0).coefficients.toArray()[:3] for f in fits)
+    assert np.allclose(a, b, atol=1e-4)
+    p, q = ([r.y_prob for r in f.transform(rows).select("y_prob").collect()] for f in fits)
+    assert np.allclose(p, q, atol=1e-4)
