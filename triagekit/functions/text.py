@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 # Unicode-aware "not a word character and not whitespace" (Python's \w is
 # Unicode; Java's is ASCII unless spelled out).
-_NON_WORD = r"[^\p{L}\p{N}_\s]"
+# A run of these and of whitespace becomes one space; a single space is such a run already and is not matched.
+_GAP = r"[^\p{L}\p{N}_]{2,}|[^\p{L}\p{N}_ ]"
 # Tokens of two or more word characters (Unicode).
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
@@ -19,8 +20,7 @@ TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 def clean_text(c) -> Column:
     """Lower-case, punctuation to space, collapse whitespace, trim."""
     c = F.col(c) if isinstance(c, str) else c
-    x = F.regexp_replace(F.lower(F.trim(c)), _NON_WORD, " ")
-    return F.trim(F.regexp_replace(x, r"\s+", " "))
+    return F.trim(F.regexp_replace(F.lower(c), _GAP, " "))
 
 
 def char_len(c) -> Column:
