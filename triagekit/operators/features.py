@@ -255,7 +255,7 @@ class TfidfModel:
             if spec.sublinear_tf:
                 x = np.where(x > 0, 1.0 + np.log(np.maximum(x, 1.0)), 0.0)
             x *= idf
-            norm = np.sqrt((x * x).sum())
+            norm = np.sqrt(np.add.accumulate(x * x)[-1])     # in order, as ``Normalizer`` sums
             return x / norm if norm > 0 else x
 
         return weigh
